@@ -92,16 +92,22 @@ def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, tas
     return C.add_flags(filled)
 
 
-def imputed_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Joined rows with clean, filled readings and flags."""
+def imputed_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
+                  task_rows: int = TASK_ROWS) -> DataFrame:
+    """Joined rows (of `products`, if given) with clean, filled readings and flags."""
     readings = imputed_weather(sales, stores, weather, task_rows).select(
         "station_nbr", F.col("day").alias("date"), "tavg", "preciptotal", "month", *FLAGS)
-    return with_readings(sales, stores, materialise(readings))
+    wanted = sales if products is None else only_products(sales, products)
+    return with_readings(wanted, stores, materialise(readings))
 
 
-def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
-    """`imputed_sales` with units capped at the product's 99th percentile over the joined rows."""
-    joined = imputed_sales(sales, stores, weather, task_rows)
+def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
+                 task_rows: int = TASK_ROWS) -> DataFrame:
+    """`imputed_sales` with units capped at the product's 99th percentile over the joined rows.
+
+    With `products`, only their rows are kept; medians still come from all sales.
+    """
+    joined = imputed_sales(sales, stores, weather, products, task_rows)
     caps = C.upper_caps(joined.select("item_nbr", "units"), ["item_nbr"], "units", task_rows=task_rows)
     return C.apply_caps(joined, caps, ["item_nbr"], "units")
 
@@ -117,9 +123,9 @@ def product_days(capped: DataFrame) -> DataFrame:
     return C.drop_missing(rolled, ["units", "tavg", "preciptotal", *FLAGS])
 
 
-def product_day_table(sales: DataFrame, stores: DataFrame, weather: DataFrame,
+def product_day_table(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
                       task_rows: int = TASK_ROWS) -> DataFrame:
-    return product_days(capped_sales(sales, stores, weather, task_rows))
+    return product_days(capped_sales(sales, stores, weather, products, task_rows))
 
 
 def units_by_flag(days: DataFrame) -> DataFrame:
