@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrisk.functions.scalars import NUMBER
@@ -34,3 +34,12 @@ def pair(token: Column, place: Column) -> Column:
 
 def feature_name(number: Column | int, stem: str = "feature") -> Column:
     return F.concat(F.lit(f"{stem}_"), F.lit(number).cast("string"))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that later filters and projections read instead of repeating their expressions.
+
+    Spark copies a plain column's expression into every filter above it; it does not look inside a generator.
+    """
+    packed = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline(packed))

@@ -69,5 +69,6 @@ def check_scoring_input(df: DataFrame, columns: list[str], reserved: tuple[str,
     if text:
         raise ValueError(f"features must be numeric: {text[:5]}")
     values = F.array(*[quoted(c).cast("double") for c in columns])
-    if not df.filter(F.exists(values, lambda v: v.isNull() | F.isnan(v))).isEmpty():
+    # An aggregate, not a filter: a filter would be pushed into the expressions that made the columns.
+    if df.agg(F.bool_or(F.exists(values, lambda v: v.isNull() | F.isnan(v)))).first()[0]:
         raise ValueError("scoring input has missing values; encode absent features as 0")

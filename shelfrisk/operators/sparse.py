@@ -18,18 +18,19 @@ def parse_lines(lines: DataFrame, text: str = "line") -> DataFrame:
 
     `problem` names why a line cannot be used (blank, bad risk, bad pair) and is NULL for good ones.
     """
-    parts = lines.withColumn("__parts", K.words(F.col(text)))
-    read = parts.withColumns({
-        "risk": K.as_float(F.get("__parts", F.lit(0))),
-        "__sorted": F.array_sort(F.transform(K.pair_tokens(F.col("__parts")), K.pair))})
+    parts = K.computed_once(lines, __parts=K.words(F.col(text)))
+    read = K.computed_once(parts, risk=K.as_float(F.get("__parts", F.lit(0))),
+                           __sorted=F.array_sort(F.transform(K.pair_tokens(F.col("__parts")), K.pair)))
     in_order = F.col("__sorted")
-    last_of_index = F.filter(in_order, lambda p, i: ~F.coalesce(
-        F.get(in_order, i + 1)["index"] == p["index"], F.lit(False)))
+    following = F.slice(in_order, 2, F.greatest(F.size(in_order), F.lit(1)))
+    with_next = F.zip_with(in_order, following, lambda p, after: F.struct(
+        p["index"].alias("index"), p["value"].alias("value"), after["index"].alias("after")))
+    last_of_index = F.filter(with_next, lambda p: F.coalesce(p["after"] != p["index"], F.lit(True)))
     bad_pair = F.exists(in_order, lambda p: p["index"].isNull() | p["value"].isNull())
     problem = (F.when(F.coalesce(F.get("__parts", F.lit(0)), F.lit("")) == "", F.lit("blank"))
                .when(F.col("risk").isNull(), F.lit("bad risk")).when(bad_pair, F.lit("bad pair")))
     pairs = F.transform(last_of_index, lambda p: F.struct(p["index"].alias("index"), p["value"].alias("value")))
-    return read.withColumns({"pairs": pairs, "problem": problem}).drop("__parts", "__sorted")
+    return K.computed_once(read.withColumn("problem", problem), pairs=pairs).drop("__parts", "__sorted")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -63,17 +64,18 @@ def dense(parsed: DataFrame, n_features: int = FEATURES) -> DataFrame:
 
     The sorted pairs are laid out with the gaps between them filled, one pass per record.
     """
-    inside = parsed.withColumn("pairs", F.filter(
-        "pairs", lambda p: (p["index"] >= 0) & (p["index"] < n_features)))
-    pairs = F.col("pairs")
-
-    def with_gap(p, i):
-        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(pairs, i - 1)["index"])
-        return F.concat(F.array_repeat(F.lit(0.0), p["index"] - before - 1), F.array(F.nanvl(p["value"], F.lit(0.0))))
-
-    end = F.coalesce(F.get(pairs, F.size(pairs) - 1)["index"], F.lit(-1))
-    tail = F.array_repeat(F.lit(0.0), F.lit(n_features - 1) - end)
-    return inside.withColumn("values", F.concat(F.flatten(F.transform(pairs, with_gap)), tail)).drop("pairs")
+    pairs = F.filter("pairs", lambda p: (p["index"] >= 0) & (p["index"] < n_features))
+    before = F.concat(F.array(F.lit(-1)), F.transform(pairs, lambda p: p["index"]))
+
+    def from_before(p, index):
+        # The extra last element has no pair: it fills up to the end.
+        gap = F.coalesce(p["index"], F.lit(n_features)) - index - 1
+        value = F.when(p["index"].isNotNull(), F.array(F.nanvl(p["value"], F.lit(0.0)))).otherwise(
+            F.array().cast("array<double>"))
+        return F.concat(F.array_repeat(F.lit(0.0), gap), value)
+
+    laid_out = F.flatten(F.zip_with(pairs, before, from_before))
+    return K.computed_once(parsed, values=laid_out).drop("pairs")
 
 
 def wide(parsed: DataFrame, keep: list[str] | None = None, n_features: int = FEATURES) -> DataFrame:

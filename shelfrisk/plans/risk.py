@@ -18,7 +18,7 @@ from shelfrisk.sources import files, views
 
 N = views.N_FEATURES
 # A record is called high-risk by the plain scorer when its values add up to this much.
-PLAIN_LIMIT = 45
+PLAIN_LIMIT = 36
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
