@@ -96,7 +96,8 @@ def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, flo
 def _interpolated(name: str, p: float) -> Column:
     position = (F.col("__n") - 1) * F.lit(float(p))
     low, high = F.col(f"__{name}_lo").cast("double"), F.col(f"__{name}_hi").cast("double")
-    return low + (high - low) * (position - F.floor(position))
+    share = position - F.floor(position)
+    return low * (1 - share) + high * share
 
 
 def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],

@@ -144,27 +144,38 @@ def _linear_ctes() -> dict[str, str]:
         f"{{'i': {i}, 'j': {j}, 'v': covar_pop({column[i]}, {column[j]})}}" for i, j in cells)
         + "], recursive := true) from fit_rows group by item_nbr"}
     for k in range(size):
+        ctes[f"p{k}"] = f"""
+select a.item_nbr, {k} as i, a.v > 1e-12 * o.v and o.v > 0 as ok
+from e{k} a join e0 o using (item_nbr, i, j) where i = {k} and j = {k}"""
         ctes[f"e{k + 1}"] = f"""
-select a.item_nbr, a.i, a.j, case when a.i = {k} then a.v / p.v else a.v - r.v * c.v / p.v end as v
-from e{k} a join e{k} p on p.item_nbr = a.item_nbr and p.i = {k} and p.j = {k}
+select a.item_nbr, a.i, a.j, case when not u.ok then a.v when a.i = {k} then a.v / p.v
+  else a.v - r.v * c.v / p.v end as v
+from e{k} a join p{k} u on u.item_nbr = a.item_nbr
+join e{k} p on p.item_nbr = a.item_nbr and p.i = {k} and p.j = {k}
 join e{k} r on r.item_nbr = a.item_nbr and r.i = a.i and r.j = {k}
 join e{k} c on c.item_nbr = a.item_nbr and c.i = {k} and c.j = a.j"""
-    ctes["slopes"] = f"select item_nbr, i, v as b from e{size} where j = {size}"
+    ctes["pivots"] = " union all ".join(f"select * from p{k}" for k in range(size))
+    ctes["slopes"] = f"""
+select item_nbr, i, case when ok then v end as b from e{size} join pivots using (item_nbr, i) where j = {size}"""
+    ctes["linear_models"] = "select item_nbr from pivots group by item_nbr having bool_and(ok)"
     ctes["intercepts"] = """
-select m.item_nbr, max(m.y) - sum(s.b * m.means[s.i + 1]) as b0 from (
+select m.item_nbr, max(m.y) - coalesce(sum(s.b * m.means[s.i + 1]), 0) as b0 from (
   select item_nbr, avg(y) as y, [""" + ", ".join(f"avg(x[{i + 1}])" for i in range(size)) + """] as means
   from fit_rows group by item_nbr) m join slopes s using (item_nbr) group by m.item_nbr"""
     ctes["linear_predicted"] = """
 select t.item_nbr, max(t.y) as y, max(c.b0) + sum(s.b * t.x[s.i + 1]) as prediction
-from test_rows t join slopes s using (item_nbr) join intercepts c using (item_nbr) group by t.item_nbr, t.date"""
+from test_rows t join slopes s using (item_nbr) join intercepts c using (item_nbr)
+where t.item_nbr in (select item_nbr from linear_models) group by t.item_nbr, t.date"""
     return ctes
 
 
 SCORES = """
 select item_nbr, '{model}' as model,
-  round(case when count(y) * var_pop(y) = 0 then 1 else 1 - sum((y - prediction) ** 2) / (count(y) * var_pop(y)) end, 4) as "R2",
-  round(sqrt(avg((y - prediction) ** 2)), 4) as "RMSE", round(avg(abs(y - prediction)), 4) as "MAE"
-from {rows} group by item_nbr"""
+  round(case when coalesce(count(y) * var_pop(y), 0) = 0 then 1
+             else 1 - sum((y - prediction) ** 2) / (count(y) * var_pop(y)) end, 4) as "R2",
+  coalesce(round(sqrt(avg((y - prediction) ** 2)), 4), 'nan'::double) as "RMSE",
+  coalesce(round(avg(abs(y - prediction)), 4), 'nan'::double) as "MAE"
+from {models} m left join {rows} p using (item_nbr) group by item_nbr"""
 
 SPARSE = {
     "lines": SPARSE_LINES,
@@ -272,8 +283,8 @@ def _by_flag(rows: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     linear, tree, root = _linear_ctes(), _tree_ctes(30), _tree_ctes(1)
-    linear_scores = SCORES.format(model=LINEAR, rows="linear_predicted")
-    tree_scores = SCORES.format(model=TREE, rows="tree_predicted")
+    linear_scores = SCORES.format(model=LINEAR, models="linear_models", rows="linear_predicted")
+    tree_scores = SCORES.format(model=TREE, models="roots", rows="tree_predicted")
     terms = "[" + ", ".join(f"'{TERM_NAMES[p]}'" for p in PREDICTORS) + "]"
     return {
         "table_sizes": " union all ".join(f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in TABLES),
@@ -305,17 +316,17 @@ from (select item_nbr, date, count(*) over () as n, row_number() over (order by
         "temp_trend": _sales("""select item_nbr, round(regr_slope(units, tavg), 4) as slope,
   round(regr_intercept(units, tavg), 4) as intercept, round(regr_r2(units, tavg), 4) as r2, count(*) as n_days
 from top_days where split = 'train' group by item_nbr""", upto="top_days"),
-        "ols_coefficients": _sales(f"""select item_nbr, {terms}[i + 1] as variable, round(b, 4) as value from slopes
+        "ols_coefficients": _sales(f"""select item_nbr, {terms}[i + 1] as variable, round(b, 4) as value from slopes where b is not null
 union all select item_nbr, '(Intercept)', round(b0, 4) from intercepts""", linear),
         "ols_metrics": _sales(linear_scores, linear),
-        "tree_root_split": _sales("""select item_nbr, n, round(mean, 4) as mean, feature, round(cut, 4) as cut,
+        "tree_root_split": _sales("""select item_nbr, n, round(mean, 4) as mean, feature, round(cut, 8) as cut,
   round(gain, 4) as gain from kept where feature is not null""", root),
         "tree_nodes": _sales(
-            "select item_nbr, node, n, round(mean, 4) as mean, feature, round(cut, 4) as cut from kept", tree),
+            "select item_nbr, node, n, round(mean, 4) as mean, feature, round(cut, 8) as cut from kept", tree),
         "tree_metrics": _sales(tree_scores, tree),
         "model_comparison": _sales(f"{linear_scores}\nunion all\n{tree_scores}", linear, tree),
         "impact_summary": _sales(f"""select item_nbr, '{LINEAR}' as model, {terms}[i + 1] as variable,
-  'Coefficient' as metric_type, round(b, 4) as value from slopes
+  'Coefficient' as metric_type, round(b, 4) as value from slopes where b is not null
 union all
 select item_nbr, '{TREE}', feature, 'Importance', round(sum(gain), 4) from kept
 where feature is not null group by item_nbr, feature""", linear, tree),

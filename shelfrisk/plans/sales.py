@@ -20,6 +20,8 @@ PREDICTORS = ["tavg", "preciptotal", *A.FLAGS]
 TERM_NAMES = {p: "is_weekendTRUE" if p == "is_weekend" else p for p in PREDICTORS}
 LINEAR, TREE = "Linear Regression", "Decision Tree"
 TOP = 3
+# Cuts lie half-way between values of 6 digits.
+CUT_DIGITS = 8
 
 
 def _inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -167,13 +169,14 @@ def ols_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def tree_root_split(spark: SparkSession, folder: str) -> DataFrame:
     nodes = _tree(model_days(spark, folder), max_depth=1).nodes
-    return _rounded(nodes.filter(F.col("feature").isNotNull()).select("item_nbr", "n", "mean", "feature", "cut", "gain"),
-                    ["mean", "cut", "gain"])
+    splits = nodes.filter(F.col("feature").isNotNull()).select("item_nbr", "n", "mean", "feature", "cut", "gain")
+    return _rounded(_rounded(splits, ["mean", "gain"]), ["cut"], CUT_DIGITS)
 
 
 def tree_nodes(spark: SparkSession, folder: str) -> DataFrame:
     nodes = _tree(model_days(spark, folder)).nodes
-    return _rounded(nodes.select("item_nbr", "node", "n", "mean", "feature", "cut"), ["mean", "cut"])
+    listed = nodes.select("item_nbr", "node", "n", "mean", "feature", "cut")
+    return _rounded(_rounded(listed, ["mean"]), ["cut"], CUT_DIGITS)
 
 
 def tree_metrics(spark: SparkSession, folder: str) -> DataFrame:
