@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfrisk.functions import scalars as S
 from shelfrisk.operators.ordered import grouped_quantiles, quantiles_of_counts
-from shelfrisk.session import TASK_ROWS, attach, broadcast_if_small, materialise
+from shelfrisk.session import TASK_ROWS, attach, broadcast_if_small, materialise, row_count
 
 
 def clean_readings(df: DataFrame, trim_trace: bool = False) -> DataFrame:
@@ -43,17 +43,22 @@ def impute_medians(df: DataFrame, keys: list[str], columns: list[str], weight: s
     With `weight`, a row counts that many times in both medians. Medians are taken before filling.
     """
     counts = materialise(reading_counts(df, keys, columns, weight))
-    per_group = quantiles_of_counts(counts, [*keys, "column"], {"median": 0.5}, task_rows)
-    wide = materialise(per_group.groupBy(*keys).agg(
+    whole = counts.groupBy("column", "value").agg(F.sum("n").alias("n")).select(
+        *[F.lit(None).cast(counts.schema[k].dataType).alias(k) for k in keys], "column", "value", "n")
+    # The whole table is one more group, marked as such because a group's own keys may be NULL.
+    levels = counts.withColumn("__whole", F.lit(False)).unionByName(whole.withColumn("__whole", F.lit(True)))
+    small = row_count(counts) <= task_rows
+    medians = quantiles_of_counts(levels if small else materialise(levels), [*keys, "column", "__whole"],
+                                  {"median": 0.5}, task_rows, small=small or None)
+    wide = materialise(medians.groupBy(*keys, "__whole").agg(
         *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"__{c}") for c in columns]))
-    whole_counts = materialise(counts.groupBy("column", "value").agg(F.sum("n").alias("n")))
-    whole = materialise(quantiles_of_counts(whole_counts, ["column"], {"median": 0.5}, task_rows))
+    per_group, overall = wide.filter("not __whole").drop("__whole"), wide.filter("__whole")
     filled = {}
     for c in columns:
         value = F.col(c).cast("double")
-        overall = whole.filter(F.col("column") == c).select("median").scalar()
-        filled[c] = F.coalesce(F.when(~S.is_missing(value), value), F.col(f"__{c}"), overall)
-    return attach(df, broadcast_if_small(wide), keys).withColumns(filled).drop(*[f"__{c}" for c in columns])
+        filled[c] = F.coalesce(F.when(~S.is_missing(value), value), F.col(f"__{c}"), overall.select(f"__{c}").scalar())
+    joined = attach(df, broadcast_if_small(per_group, rows=row_count(wide)), keys)
+    return joined.withColumns(filled).drop(*[f"__{c}" for c in columns])
 
 
 def upper_caps(df: DataFrame, keys: list[str], value: str, p: float = 0.99, task_rows: int = TASK_ROWS) -> DataFrame:

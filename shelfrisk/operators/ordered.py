@@ -80,10 +80,10 @@ def _ranged_totals(counts: DataFrame, keys: list[str], sums: list[str], order: s
     }).drop("__range", "__next", *[f"{s}_before" for s in sums])
 
 
-def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, float],
-                        task_rows: int = TASK_ROWS, ranges: int = RANGES) -> DataFrame:
+def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, float], task_rows: int = TASK_ROWS,
+                        ranges: int = RANGES, small: bool | None = None) -> DataFrame:
     """One row per group with an exact, linearly interpolated quantile for each of `probs`."""
-    totals = running_totals(counts, keys, ["n"], task_rows=task_rows, ranges=ranges)
+    totals = running_totals(counts, keys, ["n"], task_rows=task_rows, ranges=ranges, small=small)
     bounds = []
     for name, p in probs.items():
         position = (F.col("n_all") - 1) * F.lit(float(p))

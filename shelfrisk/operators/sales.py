@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfrisk.functions import scalars as S
 from shelfrisk.operators import cleaning as C
-from shelfrisk.session import TASK_ROWS, attach, broadcast_if_small, materialise
+from shelfrisk.session import CHEAP_ROWS, TASK_ROWS, broadcast_if_small, fits_broadcast, materialise, row_count
 
 READINGS = ["tmax", "tmin", "tavg", "depart", "dewpoint", "wetbulb", "heat", "cool", "sunrise", "sunset", "codesum",
             "snowfall", "preciptotal", "stnpressure", "sealevel", "resultspeed", "resultdir", "avgspeed"]
@@ -74,9 +74,15 @@ def daily_units(sales: DataFrame, stores: DataFrame, weather: DataFrame, n: int
 
 
 def sales_per_station_day(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    """Number of sale rows per station and day, counted per store first."""
-    per_store = sales.groupBy("store_nbr", "date").agg(F.count(F.lit(1)).alias("n_sales"))
-    return with_station(per_store, stores).groupBy("station_nbr", "date").agg(F.sum("n_sales").alias("n_sales"))
+    """Number of sale rows per station and day."""
+    lookup = stores.select("store_nbr", "station_nbr")
+    if fits_broadcast(lookup):
+        placed = sales.join(F.broadcast(lookup), "store_nbr").withColumn("n", F.lit(1))
+    else:
+        # Too many stores to send around: count per store before the rows move.
+        per_store = sales.groupBy("store_nbr", "date").agg(F.count(F.lit(1)).alias("n"))
+        placed = per_store.join(lookup, "store_nbr")
+    return placed.groupBy("station_nbr", "date").agg(F.sum("n").alias("n_sales"))
 
 
 def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -87,18 +93,23 @@ def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, tas
     """
     needed = weather.select("station_nbr", F.col("date").alias("day"), "date", "tavg", "preciptotal", "codesum")
     counted = needed.join(sales_per_station_day(sales, stores), ["station_nbr", "date"])
-    filled = C.impute_medians(materialise(C.clean_readings(counted)), ["station_nbr", "month"],
-                              ["preciptotal", "tavg"], weight="n_sales", task_rows=task_rows)
-    return C.add_flags(filled)
+    clean = materialise(C.clean_readings(counted))
+    filled = C.impute_medians(clean, ["station_nbr", "month"], ["preciptotal", "tavg"], weight="n_sales",
+                              task_rows=task_rows)
+    readings = C.add_flags(filled).select("station_nbr", F.col("day").alias("date"), "tavg", "preciptotal", "month",
+                                          *FLAGS)
+    # Several joins read the result. Filling adds no rows, so a small one may be sent around as it is.
+    if row_count(clean) > CHEAP_ROWS:
+        return broadcast_if_small(materialise(readings))
+    return broadcast_if_small(readings, rows=row_count(clean))
 
 
 def imputed_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
                   task_rows: int = TASK_ROWS) -> DataFrame:
     """Joined rows (of `products`, if given) with clean, filled readings and flags."""
-    readings = imputed_weather(sales, stores, weather, task_rows).select(
-        "station_nbr", F.col("day").alias("date"), "tavg", "preciptotal", "month", *FLAGS)
+    readings = imputed_weather(sales, stores, weather, task_rows)
     wanted = sales if products is None else only_products(sales, products)
-    return with_readings(wanted, stores, materialise(readings))
+    return with_station(wanted, stores).join(readings, ["station_nbr", "date"])
 
 
 def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,

@@ -21,6 +21,8 @@ from shelfrisk.session import (BROADCAST_BYTES, TASK_ROWS, broadcast_if_small, m
 # Improvements are compared as shares of the root's squared error, to this many digits; equal ones
 # go to the earlier feature, then to the lower cut.
 SCORE_DIGITS = 9
+# Levels that one query plan spans before its rows are stored again.
+LEVELS_PER_PLAN = 3
 # Largest tree, in nodes, that is sent as one value; rows walk down larger ones level by level.
 TREE_NODES = 50_000
 
@@ -57,7 +59,9 @@ def fit_trees(rows: DataFrame, group: str, target: str, features: list[str], cp:
         if total_of(level, "splits") == 0:
             break
         splits = level.filter(F.col("feature").isNotNull()).select(group, "node", "feature", "cut")
-        state = materialise(_descend(state, broadcast_if_small(splits, rows=total_of(level, "splits")), group))
+        state = _descend(state, broadcast_if_small(splits, rows=total_of(level, "splits")), group)
+        if depth % LEVELS_PER_PLAN == 0:
+            state = materialise(state)
     depth_of = F.length(F.bin("node")) - 1
     nodes = materialise(reduce(DataFrame.unionByName, levels).withColumn("depth", depth_of))
     nodes = _pruned(nodes, group, cp)

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Most rows one task may hold sorted for a single key.
 TASK_ROWS = 1_000_000
+# Up to this many rows, working a result out again is cheaper than storing it.
+CHEAP_ROWS = 200_000
 
 _SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 _WIDTHS = {T.StringType: 40, T.BooleanType: 1, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
@@ -68,8 +70,12 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: in
     Without the hint Spark shuffles both sides and splits skewed partitions at run time. Best given
     a materialised table or an upper bound on its `rows`; any other is read once more for the count.
     """
+    return F.broadcast(df) if fits_broadcast(df, max_bytes, rows) else df
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int | None = None) -> bool:
     rows = row_count(df) if rows is None else rows
-    return F.broadcast(df) if rows * row_bytes(df.schema) <= max_bytes else df
+    return rows * row_bytes(df.schema) <= max_bytes
 
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

@@ -12,6 +12,7 @@ from shelfrisk.operators import ordered as O
 from shelfrisk.operators import profile as Q
 from shelfrisk.operators import sales as A
 from shelfrisk.operators import split as P
+from shelfrisk import session as SS
 
 day = datetime.date
 
@@ -138,8 +139,10 @@ def test_imputing_the_station_table_equals_imputing_joined_rows(shop):
 def test_large_tables_take_the_shuffle_path_with_the_same_result(shop, monkeypatch):
     sales, stores, weather = shop
     usual = sorted(map(str, A.product_day_table(sales, stores, weather, task_rows=20).collect()))
-    for module in (A, C, O):
+    for module in (A, C, O, SS):
         monkeypatch.setattr(module, "broadcast_if_small", lambda df, *_, **__: df)
+    monkeypatch.setattr(A, "fits_broadcast", lambda *_, **__: False)
+    monkeypatch.setattr(A, "CHEAP_ROWS", 10)
     assert sorted(map(str, A.product_day_table(sales, stores, weather).collect())) == usual
 
 
