@@ -7,10 +7,12 @@ and only the ranges' totals are summed per group.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrisk.session import TASK_ROWS, attach, broadcast_if_small, materialise, row_count
+from shelfrisk.session import BROADCAST_BYTES, TASK_ROWS, attach, broadcast_if_small, materialise, row_count
 
 RANGES = 256
 
@@ -52,11 +54,15 @@ def running_totals(counts: DataFrame, keys: list[str], sums: list[str], order: s
 def _ranged_totals(counts: DataFrame, keys: list[str], sums: list[str], order: str, ranges: int) -> DataFrame:
     # The cuts only balance the work: every value falls in exactly one range whatever they are.
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = materialise(counts.groupBy(*keys).agg(
-        F.percentile_approx(order, steps, ranges * 20).alias("__cuts")))
+    block = math.isqrt(ranges)
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx(order, steps, ranges * 20).alias("__cuts"))
+    cuts = materialise(cuts.withColumn("__coarse", F.filter("__cuts", lambda _, i: (i + 1) % block == 0)))
     value = F.col(order)
-    ranged = attach(counts, broadcast_if_small(cuts, 8 * 2**20), keys).withColumn(
-        "__range", F.size(F.filter("__cuts", lambda cut: cut < value))).drop("__cuts")
+    # Cuts below the value: whole blocks first, then inside the next block.
+    blocks = F.size(F.filter("__coarse", lambda cut: cut < value)) * block
+    inner = F.size(F.filter(F.slice("__cuts", F.col("__blocks") + 1, F.lit(block - 1)), lambda cut: cut < value))
+    ranged = attach(counts, broadcast_if_small(cuts, BROADCAST_BYTES // ranges), keys).withColumn("__blocks", blocks)
+    ranged = ranged.withColumn("__range", F.col("__blocks") + inner).drop("__cuts", "__coarse", "__blocks")
     per_range = ranged.groupBy(*keys, "__range").agg(
         *[F.sum(s).alias(f"__{s}") for s in sums], F.min(order).alias("__first"))
     group = Window.partitionBy(*keys)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrisk.operators.ordered import quantiles_of_counts
+from shelfrisk.operators.schema import quoted
 from shelfrisk.operators.sales import READINGS, sales_per_station_day, with_readings
 from shelfrisk.session import TASK_ROWS, materialise, row_count
 
@@ -92,6 +93,9 @@ def profile_join(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_r
     return per_sale.unionByName(per_reading)
 
 
-def column_listing(profiled: DataFrame) -> DataFrame:
-    """Non-missing count and type of each column."""
-    return profiled.select("column", "non_null", "dtype")
+def column_listing(df: DataFrame) -> DataFrame:
+    """Non-missing count and type of each column, from one aggregate."""
+    counts = df.agg(*[F.count(quoted(f.name)).alias(f.name) for f in df.schema])
+    cells = [F.struct(F.lit(f.name).alias("column"), quoted(f.name).alias("non_null"),
+                      F.lit(f.dataType.simpleString()).alias("dtype")) for f in df.schema]
+    return counts.select(F.inline(F.array(*cells)))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrisk.operators.ordered import fits_one_task, running_totals
+from shelfrisk.operators.schema import quoted
 from shelfrisk.session import (BROADCAST_BYTES, TASK_ROWS, broadcast_if_small, materialise, row_count,
                                total_of)
 
@@ -77,28 +78,30 @@ def _best_splits(state: DataFrame, group: str, cp: float, min_split: int, min_bu
     if small:
         # One shuffle by node serves all steps below. Larger inputs are counted before they move.
         state = state.repartition(group, "node")
-    long = state.select(group, "node", "y", "centre", "root_risk", F.posexplode("x").alias("feature", "value"))
-    counts = long.groupBy(group, "node", "feature", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"),
-        F.max("centre").alias("centre"), F.max("root_risk").alias("root_risk"))
+    long = state.select(quoted(group), "node", "y", "centre", "root_risk",
+                        F.expr("posexplode(x) as (feature, value)"))
+    counts = long.groupBy(quoted(group), "node", "feature", "value").agg(*[F.expr(e) for e in (
+        "count(1) as n", "sum(y) as s", "sum(y * y) as q", "max(centre) as centre", "max(root_risk) as root_risk")])
     keys = [group, "node", "feature"]
     if not small:
         counts = materialise(counts)
     totals = running_totals(counts, keys, ["n", "s", "q"], small=small or fits_one_task(counts, keys, task_rows))
-    left_n, left_s, n, s = (F.col(c) for c in ("n_upto", "s_upto", "n_all", "s_all"))
-    gain = left_s * left_s / left_n + F.try_divide((s - left_s) * (s - left_s), n - left_n) - s * s / n
-    risk = F.col("q_all") - s * s / n
-    score = F.round(F.try_divide(gain, F.col("root_risk")), SCORE_DIGITS)
-    allowed = (F.lit(may_split) & F.col("next_value").isNotNull() & (n >= min_split) & (left_n >= min_bucket)
-               & (n - left_n >= min_bucket) & (risk > cp * F.col("root_risk")) & (score > 0))
-    cut = (F.col("value") + F.col("next_value")) / 2
-    best = F.max(F.when(allowed, F.struct(score.alias("score"), (-F.col("feature")).alias("early"),
-                                          (-F.col("value")).alias("low"), cut.alias("cut"), gain.alias("gain"))))
-    nodes = totals.groupBy(group, "node").agg(
-        F.max(n).alias("n"), F.max(F.col("centre") + s / n).alias("mean"), F.max(risk).alias("risk"),
-        F.max("root_risk").alias("root_risk"), best.alias("best"))
-    return nodes.select(group, "node", "n", "mean", "risk", "root_risk", (-F.col("best.early")).alias("feature"),
-                        "best.cut", "best.gain")
+    # `_upto` is the side below the cut, the rest of `_all` the side above it.
+    split = totals.selectExpr(
+        "*", "q_all - s_all * s_all / n_all as risk",
+        "s_upto * s_upto / n_upto + try_divide((s_all - s_upto) * (s_all - s_upto), n_all - n_upto) "
+        "- s_all * s_all / n_all as gain")
+    scored = split.selectExpr("*", f"round(try_divide(gain, root_risk), {SCORE_DIGITS}) as score")
+    allowed = (f"{str(may_split).lower()} and next_value is not null and n_all >= {min_split} "
+               f"and n_upto >= {min_bucket} and n_all - n_upto >= {min_bucket} "
+               f"and risk > cast({cp!r} as double) * root_risk and score > 0")
+    best = (f"max(case when {allowed} then named_struct('score', score, 'early', -feature, 'low', -value, "
+            "'cut', (value + next_value) / 2, 'gain', gain) end) as best")
+    nodes = scored.groupBy(quoted(group), "node").agg(*[F.expr(e) for e in (
+        "max(n_all) as n", "max(centre + s_all / n_all) as mean", "max(risk) as risk",
+        "max(root_risk) as root_risk", best)])
+    return nodes.selectExpr(f"`{group}`", "node", "n", "mean", "risk", "root_risk", "-best.early as feature",
+                            "best.cut as cut", "best.gain as gain")
 
 
 def _descend(state: DataFrame, splits: DataFrame, group: str) -> DataFrame:

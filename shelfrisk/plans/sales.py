@@ -29,10 +29,13 @@ def _inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 def table_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of all attached tables, by SQL over the catalog's list."""
     files.attach_folder(spark, folder, views.TABLES, prefix="shelf_")
     names = [n for n in files.list_tables(spark) if n.startswith("shelf_")]
-    return files.query(spark, " union all ".join(
+    sizes = files.query(spark, " union all ".join(
         f"select '{n.removeprefix('shelf_')}' as table_name, count(*) as n_rows from {n}" for n in names))
+    files.detach(spark, names)
+    return sizes
 
 
 def top_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +95,7 @@ def profile_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def column_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.column_listing(Q.profile_join(*_inputs(spark, folder)))
+    return Q.column_listing(A.joined_table(*_inputs(spark, folder)))
 
 
 def split_membership(spark: SparkSession, folder: str) -> DataFrame:

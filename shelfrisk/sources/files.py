@@ -36,6 +36,12 @@ def list_tables(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables())
 
 
+def detach(spark: SparkSession, names: list[str]) -> None:
+    """Forget attached tables; frames already built from them keep working."""
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
 def query(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
