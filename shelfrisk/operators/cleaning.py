@@ -36,11 +36,12 @@ def reading_counts(df: DataFrame, keys: list[str], columns: list[str], weight: s
             .groupBy(*keys, "column", "value").agg(F.sum("n").alias("n")))
 
 
-def impute_medians(df: DataFrame, keys: list[str], columns: list[str], weight: str | None = None,
-                   task_rows: int = TASK_ROWS) -> DataFrame:
-    """Fill missing values with the group's median, else with the median of the whole table.
+def with_medians(df: DataFrame, keys: list[str], columns: list[str], weight: str | None = None,
+                 task_rows: int = TASK_ROWS) -> DataFrame:
+    """Attach to each row, per column, its group's exact median (`<c>_group`) and the whole table's (`<c>_all`).
 
-    With `weight`, a row counts that many times in both medians. Medians are taken before filling.
+    Missing values are left out; a group without values has NULL. With `weight`, a row counts that
+    many times. The groups' medians are joined on, so the rows themselves are not shuffled.
     """
     counts = materialise(reading_counts(df, keys, columns, weight))
     whole = counts.groupBy("column", "value").agg(F.sum("n").alias("n")).select(
@@ -51,14 +52,24 @@ def impute_medians(df: DataFrame, keys: list[str], columns: list[str], weight: s
     medians = quantiles_of_counts(levels if small else materialise(levels), [*keys, "column", "__whole"],
                                   {"median": 0.5}, task_rows, small=small or None)
     wide = materialise(medians.groupBy(*keys, "__whole").agg(
-        *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"__{c}") for c in columns]))
+        *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"{c}_group") for c in columns]))
     per_group, overall = wide.filter("not __whole").drop("__whole"), wide.filter("__whole")
+    joined = attach(df, broadcast_if_small(per_group, rows=row_count(wide)), keys)
+    return joined.withColumns({f"{c}_all": overall.select(f"{c}_group").scalar() for c in columns})
+
+
+def impute_medians(df: DataFrame, keys: list[str], columns: list[str], weight: str | None = None,
+                   task_rows: int = TASK_ROWS) -> DataFrame:
+    """Fill missing values with the group's median, else with the median of the whole table.
+
+    Medians are taken before filling, see `with_medians`.
+    """
+    ready = with_medians(df, keys, columns, weight, task_rows)
     filled = {}
     for c in columns:
         value = F.col(c).cast("double")
-        filled[c] = F.coalesce(F.when(~S.is_missing(value), value), F.col(f"__{c}"), overall.select(f"__{c}").scalar())
-    joined = attach(df, broadcast_if_small(per_group, rows=row_count(wide)), keys)
-    return joined.withColumns(filled).drop(*[f"__{c}" for c in columns])
+        filled[c] = F.coalesce(F.when(~S.is_missing(value), value), F.col(f"{c}_group"), F.col(f"{c}_all"))
+    return ready.withColumns(filled).drop(*[f"{c}_{side}" for c in columns for side in ("group", "all")])
 
 
 def upper_caps(df: DataFrame, keys: list[str], value: str, p: float = 0.99, task_rows: int = TASK_ROWS) -> DataFrame:

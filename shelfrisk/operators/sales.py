@@ -85,15 +85,29 @@ def sales_per_station_day(sales: DataFrame, stores: DataFrame) -> DataFrame:
     return placed.groupBy("station_nbr", "date").agg(F.sum("n").alias("n_sales"))
 
 
+def match_counts(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """One row: sale rows in all, rows the join keeps, rows it drops for want of a station or reading."""
+    days = weather.select("station_nbr", "date").distinct()
+    kept = sales_per_station_day(sales, stores).join(days, ["station_nbr", "date"], "left_semi")
+    total = sales.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts = kept.agg(F.coalesce(F.sum("n_sales"), F.lit(0)).cast("long").alias("n_matched"))
+    return counts.select(total.alias("n_sales"), "n_matched", (total - F.col("n_matched")).alias("n_dropped"))
+
+
+def clean_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """Stored clean readings of each station and day with sales: `day` as joined on, `n_sales`, readings."""
+    needed = weather.select("station_nbr", F.col("date").alias("day"), "date", "tavg", "preciptotal", "codesum")
+    counted = needed.join(sales_per_station_day(sales, stores), ["station_nbr", "date"])
+    return materialise(C.clean_readings(counted))
+
+
 def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Clean readings and flags per station and day, gaps filled by station-month medians.
 
     A reading counts once per sale it is joined to, so filling the small readings table gives the
     values that filling the joined rows would give. Readings without any sale are dropped.
     """
-    needed = weather.select("station_nbr", F.col("date").alias("day"), "date", "tavg", "preciptotal", "codesum")
-    counted = needed.join(sales_per_station_day(sales, stores), ["station_nbr", "date"])
-    clean = materialise(C.clean_readings(counted))
+    clean = clean_weather(sales, stores, weather)
     filled = C.impute_medians(clean, ["station_nbr", "month"], ["preciptotal", "tavg"], weight="n_sales",
                               task_rows=task_rows)
     readings = C.add_flags(filled).select("station_nbr", F.col("day").alias("date"), "tavg", "preciptotal", "month",

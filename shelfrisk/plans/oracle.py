@@ -295,6 +295,11 @@ def oracle_sql() -> dict[str, str]:
         "daily_units_and_temp_untyped": _sales(_daily(2, "coalesce(try_cast(tavg as double), 0)"), upto="ranked"),
         "clean_precip": _sales("select item_nbr, store_nbr, date, station_nbr, preciptotal, tavg, year, month from clean",
                                upto="clean"),
+        "match_counts": _sales("""select n as n_sales, m as n_matched, n - m as n_dropped
+from (select count(*) as n from train), (select count(*) as m from joined)""", upto="joined"),
+        "station_month_medians": _sales("""select distinct station_nbr, date, preciptotal, tavg,
+  p_group as preciptotal_group, p_all as preciptotal_all, t_group as tavg_group, t_all as tavg_all
+from medians, overall""", upto="overall"),
         "impute_station_month": _sales(
             "select item_nbr, store_nbr, date, station_nbr, month, preciptotal, tavg from filled", upto="filled"),
         "cap_units_p99": _sales("""select item_nbr, store_nbr, date, units, round(units_capped, 4) as units_capped,

@@ -65,6 +65,18 @@ def clean_precip(spark: SparkSession, folder: str) -> DataFrame:
         "item_nbr", "store_nbr", "date", "station_nbr", "preciptotal", "tavg", "year", "month")
 
 
+def match_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return A.match_counts(*_inputs(spark, folder))
+
+
+def station_month_medians(spark: SparkSession, folder: str) -> DataFrame:
+    """Each station-day's group and whole-table medians, as the joined rows would see them."""
+    clean = A.clean_weather(*_inputs(spark, folder))
+    medians = C.with_medians(clean, ["station_nbr", "month"], ["preciptotal", "tavg"], weight="n_sales")
+    return medians.select("station_nbr", F.col("day").alias("date"), "preciptotal", "tavg", "preciptotal_group",
+                          "preciptotal_all", "tavg_group", "tavg_all")
+
+
 def impute_station_month(spark: SparkSession, folder: str) -> DataFrame:
     return A.imputed_sales(*_inputs(spark, folder)).select(
         "item_nbr", "store_nbr", "date", "station_nbr", "month", "preciptotal", "tavg")
@@ -211,7 +223,8 @@ def _rounded(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
 
 
 QUERIES = [table_sizes, top_products, nth_top_product, sales_weather_join, daily_units_and_temp,
-           daily_units_and_temp_untyped, clean_precip, impute_station_month, cap_units_p99, weather_flags, product_day,
+           daily_units_and_temp_untyped, clean_precip, match_counts, station_month_medians,
+           impute_station_month, cap_units_p99, weather_flags, product_day,
            first_product_days, profile_joined, column_listing, split_membership, exact_split_membership, units_by_flag,
            units_by_flag_chosen, temp_trend, ols_coefficients, ols_metrics, tree_root_split, tree_nodes, tree_metrics,
            model_comparison, impact_summary]
