@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfrisk.functions import scalars as S
 from shelfrisk.operators import cleaning as C
-from shelfrisk.session import CHEAP_ROWS, TASK_ROWS, broadcast_if_small, fits_broadcast, materialise, row_count
+from shelfrisk.session import (CHEAP_ROWS, TASK_ROWS, broadcast_if_small, fits_broadcast, materialise, row_count,
+                               stored)
 
 READINGS = ["tmax", "tmin", "tavg", "depart", "dewpoint", "wetbulb", "heat", "cool", "sunrise", "sunset", "codesum",
             "snowfall", "preciptotal", "stnpressure", "sealevel", "resultspeed", "resultdir", "avgspeed"]
@@ -36,8 +37,9 @@ def nth_product(sales: DataFrame, n: int) -> DataFrame:
 
 
 def only_products(df: DataFrame, products: DataFrame) -> DataFrame:
-    """Rows of the given products. `products` is a top-k, so its few rows are broadcast."""
-    return df.join(broadcast_if_small(products.select("item_nbr")), "item_nbr", "left_semi")
+    """Rows of the given products; best given a stored top-k, whose few rows are broadcast."""
+    rows = row_count(products)
+    return df.join(broadcast_if_small(products.select("item_nbr"), rows=rows), "item_nbr", "left_semi")
 
 
 def with_station(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -132,7 +134,9 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
 
     With `products`, only their rows are kept; medians still come from all sales.
     """
-    joined = imputed_sales(sales, stores, weather, products, task_rows)
+    # The caps and the result both read the products: rank them once.
+    chosen = None if products is None else stored(products)
+    joined = imputed_sales(sales, stores, weather, chosen, task_rows)
     caps = C.upper_caps(joined.select("item_nbr", "units"), ["item_nbr"], "units", task_rows=task_rows)
     return C.apply_caps(joined, caps, ["item_nbr"], "units")
 

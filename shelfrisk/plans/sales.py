@@ -122,8 +122,7 @@ def exact_split_membership(spark: SparkSession, folder: str) -> DataFrame:
 def model_days(spark: SparkSession, folder: str) -> DataFrame:
     """Product-days of the top products with their split, stored because every model reads them."""
     sales, stores, weather = _inputs(spark, folder)
-    top = materialise(A.top_products(sales, TOP))
-    days = A.product_day_table(sales, stores, weather, top)
+    days = A.product_day_table(sales, stores, weather, A.top_products(sales, TOP))
     return materialise(P.random_split(days, ["item_nbr", "date"]))
 
 

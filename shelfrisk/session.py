@@ -44,9 +44,14 @@ def materialise(df: DataFrame, **totals: Column) -> DataFrame:
     seen = Observation()
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in totals.items()])
     watched.write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    _SEEN[stored] = seen.get
-    return stored
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _SEEN[table] = seen.get
+    return table
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` itself if `materialise` made it, else its stored copy."""
+    return df if df in _SEEN else materialise(df)
 
 
 def row_count(df: DataFrame) -> int:
@@ -54,9 +59,9 @@ def row_count(df: DataFrame) -> int:
     return _SEEN[df]["rows"] if df in _SEEN else df.count()
 
 
-def total_of(stored: DataFrame, name: str):
+def total_of(table: DataFrame, name: str):
     """One of the `totals` given to `materialise`."""
-    return _SEEN[stored][name]
+    return _SEEN[table][name]
 
 
 def row_bytes(schema: T.StructType) -> int:
