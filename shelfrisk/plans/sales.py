@@ -198,25 +198,36 @@ def tree_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _tree_scores(days, _tree(days))
 
 
-def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    days = model_days(spark, folder)
-    return _linear_scores(days, _linear(days)).unionByName(_tree_scores(days, _tree(days)))
+def fit_models(days: DataFrame) -> tuple[DataFrame, R.TreeModel]:
+    """Both models of every product; comparison and impact are read from the same fit."""
+    return _linear(days), _tree(days)
 
 
-def impact_summary(spark: SparkSession, folder: str) -> DataFrame:
+def comparison(days: DataFrame, linear: DataFrame, tree: R.TreeModel) -> DataFrame:
+    return _linear_scores(days, linear).unionByName(_tree_scores(days, tree))
+
+
+def impact(linear: DataFrame, tree: R.TreeModel) -> DataFrame:
     """Coefficients and importances per product, strongest first."""
-    days = model_days(spark, folder)
-    slopes = L.coefficient_rows(_linear(days), "item_nbr", TERM_NAMES)
-    used = R.importance_rows(_tree(days))
 
     def labelled(rows: DataFrame, model: str, kind: str) -> DataFrame:
         return rows.select("item_nbr", F.lit(model).alias("model"), "variable", F.lit(kind).alias("metric_type"),
                            F.col("value"))
 
-    both = labelled(slopes, LINEAR, "Coefficient").unionByName(labelled(used, TREE, "Importance"))
+    both = labelled(L.coefficient_rows(linear, "item_nbr", TERM_NAMES), LINEAR, "Coefficient").unionByName(
+        labelled(R.importance_rows(tree), TREE, "Importance"))
     return _rounded(both, ["value"]).orderBy("item_nbr", "model", "metric_type", F.desc(F.abs("value")))
 
 
+def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    days = model_days(spark, folder)
+    return comparison(days, *fit_models(days))
+
+
+def impact_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return impact(*fit_models(model_days(spark, folder)))
+
+
 def _rounded(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
