@@ -129,11 +129,12 @@ def slices(table: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
             yield table.slice(a, b - a)
 
 
-def with_mark(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a mark that tells apart different texts under one repeated doc_id."""
+def with_mark(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, text, a mark that tells apart different texts under one repeated doc_id, and `carried` columns."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.shiftrightunsigned(F.xxhash64(text), 64 - 18).cast("int").alias("mark"))
+                       F.shiftrightunsigned(F.xxhash64(text), 64 - 18).cast("int").alias("mark"),
+                       *([F.struct(*carry).alias("carried")] if carry else []))
 
 
 def settle(key: np.ndarray, doc: np.ndarray, place: np.ndarray, whole_docs: bool) -> np.ndarray:
@@ -280,12 +281,12 @@ def passage_texts(keyed: DataFrame, contested: DataFrame, window: int, units, sp
                     [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                     names=["anchor", "doc_id", "place", "body"])
 
-    return (keyed.filter("doc_id is not null").join(listed, ["doc_id", "mark"]).select("doc_id", "text", "mark", "wanted")
+    return (keyed.filter("doc_id is not null").join(listed, ["doc_id", "mark"]).select(*keyed.columns, "wanted")
             .mapInArrow(take, "anchor long, doc_id long, place long, body binary"))
 
 
-def removed_spans(classified: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """(doc_id, mark, spans) from passages flagged GONE and from `found` (doc_id, place), one span of units each."""
+def removed_spans(classified: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, mark, places) of passages flagged GONE and of the runs of windows `found` (doc_id, place)."""
     gone = classified.filter(F.col("place").bitwiseAND(GONE) > 0).select("doc_id", "place").unionByName(found)
     return (gone.withColumn("mark", F.shiftrightunsigned("place", SHIFT).cast("int"))
             .groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places")))
@@ -303,7 +304,9 @@ def merged(places, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def attach_places(keyed: DataFrame, gone: DataFrame) -> DataFrame:
-    """doc_id, text, places (NULL if nothing goes) of every document, also those without an id."""
-    known = keyed.filter("doc_id is not null").join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "places")
-    return known.unionByName(keyed.filter("doc_id is null").select(
-        "doc_id", "text", F.lit(None).cast("array<long>").alias("places")))
+    """The documents with places (NULL if nothing goes), also those without an id.
+
+    Reads the same columns as `passage_texts`, so that both joins share one shuffle of the texts.
+    """
+    known = keyed.filter("doc_id is not null").join(gone, ["doc_id", "mark"], "left").select(*keyed.columns, "places")
+    return known.unionByName(keyed.filter("doc_id is null").withColumn("places", F.lit(None).cast("array<long>")))

@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrisk.llm import bpe, html, langid, substring, suffixdup, toxicity
+from shelfrisk.llm import bpe, html, jaccard, langid, mixing, substring, suffixdup, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# The test tables name no domain: the last character of a source's name stands for it.
+DOMAIN = "right(source, 1)"
+WEIGHTS = {"lang": {"en": 3, "de": 2, "fr": 2}}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +29,11 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("domain", F.expr(DOMAIN))
+    return mixing.mix(docs, ["domain", "lang", "source"], WEIGHTS)
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
@@ -40,10 +48,48 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_table(spark, folder, "pages"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, folder, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffixdup.drop_repeated_bytes(_table(spark, folder, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = [op1_bpe, op2_substring_dedup, op4_toxicity, op6_language, op7_main_text, op9_suffix_dedup]
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = [op1_bpe, op2_substring_dedup, op3_mix_sources, op4_toxicity, op6_language, op7_main_text,
+           op8_ngram_jaccard, op9_suffix_dedup]
+
+
+def _shared(parent: str, path: str, last: str, weight: str, above: str) -> str:
+    """Budgets of the children of each node, as SQL: see mixing.leaf_budgets."""
+    keys = f"partition by {parent}" if parent else ""
+    join = " and ".join(f"n.{c} is not distinct from b.{c}" for c in parent.split(", ")) if parent else "true"
+    return f"""(select {path}, least(capacity, max(level) over ({keys}) * weight) as budget from (
+      select *, (budget - coalesce(sum(capacity) over ({keys} order by capacity / weight, {last} nulls first rows between unbounded preceding and 1 preceding), 0.0))
+        / sum(weight) over ({keys} order by capacity / weight, {last} nulls first rows between current row and unbounded following) as level
+      from (select n.*, b.budget from (select {path}, cast(sum(tokens) * 2 as double) as capacity, max({weight}) as weight from leaves group by {path}) n
+        join {above} b on {join})))"""
+
+
+MIX_SQL = f"""
+with docs as (select doc_id, right(source, 1) as domain, lang, source,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as n_tokens from documents),
+  leaves as (select domain, lang, source, sum(n_tokens) as tokens from docs group by all),
+  b0 as (select least(cast(sum(tokens) as double), cast(sum(tokens) * 2 as double)) as budget from leaves),
+  b1 as {_shared("", "domain", "domain", "cast(1 as double)", "b0")},
+  b2 as {_shared("domain", "domain, lang", "lang", "cast(case lang when 'en' then 3 when 'de' then 2 when 'fr' then 2 else 1 end as double)", "b1")},
+  b3 as {_shared("domain, lang", "domain, lang, source", "source", "cast(1 as double)", "b2")},
+  plan as (select l.*, cast(floor(b.budget + 1e-6) as bigint) as budget from leaves l join b3 b
+    on l.domain is not distinct from b.domain and l.lang is not distinct from b.lang and l.source is not distinct from b.source),
+  parts as (select *, case when tokens > 0 then cast(floor(budget / tokens) as bigint) else 0 end as whole from plan),
+  taken as (select d.*, p.whole, p.budget - p.whole * p.tokens as rest from docs d join parts p
+    on d.domain is not distinct from p.domain and d.lang is not distinct from p.lang and d.source is not distinct from p.source),
+  running as (select *, sum(n_tokens) over (partition by domain, lang, source
+    order by md5(concat('17:', whole, ':', doc_id)), doc_id) as upto from taken)
+select doc_id, domain, lang, source, unnest(range(whole)) as epoch, n_tokens from taken where whole > 0
+union all
+select doc_id, domain, lang, source, whole, n_tokens from running where rest > 0 and upto <= rest
+"""
+
+ORACLE_SQL = {"op3_mix_sources": MIX_SQL}

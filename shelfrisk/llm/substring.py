@@ -137,7 +137,7 @@ def drop_repeated_passages(docs: DataFrame, window: int = 50, gram: int = 16) ->
 
     found = (texts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "place")
              .mapInArrow(match, "doc_id long, place long"))
-    gone = P.removed_spans(classified, found, window)
+    gone = P.removed_spans(classified, found)
 
     def keep(batches):
         for batch in batches:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfrisk.llm.langid import held_out
 from shelfrisk.llm.passages import slices
@@ -237,20 +238,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int =
     return w
 
 
-def _featured(docs: DataFrame, words: list[str], stems: list[str]) -> DataFrame:
-    """doc_id, held_out, toxic and the features."""
+def _featured(docs: DataFrame, words: list[str], stems: list[str], carry: list[str]) -> DataFrame:
+    """The columns to carry, then held_out and features."""
+    source = docs.select("text", held_out().alias("held_out"), F.struct(*carry).alias("carried"))
+    schema = T.StructType([source.schema["carried"], source.schema["held_out"], T.StructField("features", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
         lexicon, cache = Lexicon(words, stems), {}
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = [features(t or "", lexicon, cache) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "held_out", "toxic")),
-                                                  pa.array(rows, pa.list_(pa.float64()))],
-                                                 names=["doc_id", "held_out", "toxic", "features"])
+                yield pa.RecordBatch.from_arrays([part.column("carried"), part.column("held_out"), pa.array(rows, pa.list_(pa.float64()))],
+                                                 names=["carried", "held_out", "features"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("toxic").cast("int").alias("toxic"), "text")
-            .mapInArrow(run, "doc_id long, held_out boolean, toxic int, features array<double>"))
+    return source.mapInArrow(run, schema).select("carried.*", "held_out", "features")
 
 
 def train(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Model:
@@ -262,23 +263,30 @@ def train(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Mode
     labelled = (docs.select("doc_id", "text").filter("text is not null")
                 .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))  # at most most_labels small rows
     words, stems = learn_terms(labelled)
-    rows = _featured(labelled, words, stems).select("features", "toxic").collect()
+    rows = _featured(labelled, words, stems, ["toxic"]).select("features", "toxic").collect()
     if not rows:
         return Model([], [], np.zeros(6))
     x, y = np.array([r.features for r in rows]), np.array([float(r.toxic) for r in rows])
-    return Model(words, stems, fit_logistic(x, y))
+    use = np.ones(x.shape[1], dtype=bool)
+    while True:  # a hit of any kind is no sign of a harmless text: features that come out so are left out
+        weights = np.zeros(x.shape[1] + 1)
+        weights[np.append(True, use)] = fit_logistic(x[:, use], y)
+        if (weights[1:] >= 0).all():
+            return Model(words, stems, weights)
+        use &= weights[1:] >= 0
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted of every whole text.
+def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, the columns to carry, held_out, score, predicted of every whole text.
 
     NULL and empty texts get the score of a text without hits. Rows stand alone; a NULL doc_id is not held out. Without
-    any labels every score is 0.5.
+    any labels every score is 0.5. Columns not carried are ignored.
     """
     weights = [float(w) for w in model.weights]
     z = F.lit(weights[0])
     for i, w in enumerate(weights[1:]):
         z = z + F.col("features")[i] * F.lit(w)
-    return (_featured(docs.select("doc_id", "text").withColumn("toxic", F.lit(None).cast("int")), model.words, model.stems)
-            .select("doc_id", "held_out", (1 / (1 + F.exp(-z))).alias("score"))
+    kept = ["doc_id", *(carry or [])]
+    return (_featured(docs.withColumn("doc_id", F.col("doc_id").cast("long")), model.words, model.stems, kept)
+            .select(*kept, "held_out", (1 / (1 + F.exp(-z))).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
