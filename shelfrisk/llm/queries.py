@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrisk.llm import bpe, html, jaccard, langid, mixing, substring, suffixdup, toxicity
+from shelfrisk.llm import bpe, html, jaccard, langid, mixing, neardup, substring, suffixdup, topk, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # The test tables name no domain: the last character of a source's name stands for it.
@@ -39,6 +39,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
 
 
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return langid.predict(docs, langid.train(docs.filter(~langid.held_out())))
@@ -57,8 +62,12 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = [op1_bpe, op2_substring_dedup, op3_mix_sources, op4_toxicity, op6_language, op7_main_text,
-           op8_ngram_jaccard, op9_suffix_dedup]
+def op10_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+QUERIES = [op1_bpe, op2_substring_dedup, op3_mix_sources, op4_toxicity, op5_exact_top_k, op6_language, op7_main_text,
+           op8_ngram_jaccard, op9_suffix_dedup, op10_embedding_neardup]
 
 
 def _shared(parent: str, path: str, last: str, weight: str, above: str) -> str:
