@@ -3,9 +3,10 @@
 The document by shingle incidence matrix is multiplied with its transpose block by block, a block being the
 shingles of one task. A pair can only reach the bound if it meets in the first n - ceil(0.85 n) + 1 shingles of both,
 in any fixed order, so only these rows enter the product; frequent shingles come last in the order. Equal sets
-are one row. Two products are made. The first takes, per shingle, only the smallest set as partner, which joins
-large groups of near copies at once. The second takes all pairs whose ends are still in different components,
-adds up their overlap and drops pairs that cannot reach the bound any longer. Both verify what is left on whole sets.
+are one row. Two products are made. The first takes, per shingle, only the set with the fewest rarer shingles as
+partner, the centre of a group of near copies, and so joins most of the group at once. The second takes all pairs
+whose ends are still in different components. Both add up the overlap of a pair over the shingles of a block, drop pairs
+that by their sizes and the place of the shingle cannot reach the bound, and verify what is left on whole sets.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def added(parts: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(shingle, signature, n) of the first shingles of each set, rare ones first; once per slice for equal sets."""
+    """(shingle, signature, n, place) of the first shingles of each set, rare ones first; once per slice for equal sets."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
 
     def run(batches):
@@ -102,45 +103,51 @@ def prefix_rows(docs: DataFrame, words: int, percent: int, counts: np.ndarray) -
                     done.add(sign)
                     weight = order[(found >> SHIFT).astype(np.int64)]
                     first = n - -(-percent * n // 100) + 1
-                    rows.append((found[np.argsort(weight, kind="stable")[:first]].view(np.int64), np.full(first, sign), np.full(first, n)))
+                    rows.append((found[np.argsort(weight, kind="stable")[:first]].view(np.int64), np.full(first, sign), np.full(first, n, dtype=np.int32),
+                                 np.arange(first, dtype=np.int32)))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["shingle", "signature", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["shingle", "signature", "n", "place"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, signature long, n long")
+    return docs.select("text").mapInArrow(run, "shingle long, signature long, n int, place int")
+
+
+def reachable(n_a, place_a, n_b, place_b, percent: int):
+    """Whether sets of these sizes can reach the bound if the shingle at these places is their first common one. An overlap
+    of at least `percent` / (100 + `percent`) of both sizes together must lie at or after it. Takes numbers, arrays or columns."""
+    spare_a = (n_a - place_a) * (100 + percent) - percent * (n_a + n_b)
+    spare_b = (n_b - place_b) * (100 + percent) - percent * (n_a + n_b)
+    return (spare_a >= 0) & (spare_b >= 0) & (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
 
 
 def shared_rows(rows: DataFrame, percent: int) -> DataFrame:
-    """(shingle, signature, n, pivot) of shingles that at least two sets have; pivot: the smallest set of that shingle
-    which the size bound still allows. Rows stream by in order, so no group is held."""
+    """(shingle, signature, n, place, pivot) of shingles that at least two sets have. pivot: the set with the fewest rarer
+    shingles, or the set itself if the two cannot reach the bound. Rows stream by in order, so no group is held."""
 
     def read(batches):
-        last, pivot, waiting = (None, None), (0, 0), None
+        last, head, waiting = (None, None), (0, 0, 0), None
         for batch in batches:
-            shingle, sign, n = (batch.column(c).to_numpy() for c in ("shingle", "signature", "n"))
-            if not len(shingle):
+            rows = [batch.column(c).to_numpy() for c in ("shingle", "signature", "n", "place")]
+            if not batch.num_rows:
                 continue
-            fresh = np.append((shingle[0], sign[0]) != last, (shingle[1:] != shingle[:-1]) | (sign[1:] != sign[:-1]))
-            shingle, sign, n = shingle[fresh], sign[fresh], n[fresh]
+            shingle, sign = rows[:2]
+            rows = [c[np.append((shingle[0], sign[0]) != last, (shingle[1:] != shingle[:-1]) | (sign[1:] != sign[:-1]))] for c in rows]
+            shingle, sign, n, place = rows
             if not len(shingle):
                 continue
             new = np.append(shingle[0] != last[0], shingle[1:] != shingle[:-1])
             grouped = ~new | np.append(~new[1:], False)
-            pivots = sign.copy()
-            for i in np.flatnonzero(grouped).tolist():
-                if new[i] or 100 * pivot[1] < percent * n[i]:
-                    pivot = sign[i], n[i]
-                pivots[i] = pivot[0]
-            rows = [c[grouped] for c in (shingle, sign, n, pivots)]
+            at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+            first = [np.where(at < 0, h, c[at]) for h, c in zip(head, (sign, n, place))]
+            near = reachable(n.astype(np.int64), place.astype(np.int64), first[1].astype(np.int64), first[2].astype(np.int64), percent)
+            out = [c[grouped] for c in (shingle, sign, n, place, np.where(near, first[0], sign))]
             if waiting and not new[0]:
-                rows = [np.append(w, c) for w, c in zip(waiting, rows)]
-            waiting = None
-            if new[-1]:  # alone so far
-                pivot, waiting = (sign[-1], n[-1]), (shingle[-1], sign[-1], n[-1], sign[-1])
-            last = shingle[-1], sign[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["shingle", "signature", "n", "pivot"])
+                out = [np.append(w, c).astype(c.dtype) for w, c in zip(waiting, out)]
+            waiting = (shingle[-1], sign[-1], n[-1], place[-1], sign[-1]) if new[-1] else None  # alone so far
+            last, head = (shingle[-1], sign[-1]), tuple(c[-1] for c in first)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["shingle", "signature", "n", "place", "pivot"])
 
-    return (rows.repartition("shingle").sortWithinPartitions("shingle", "n", "signature")
-            .mapInArrow(read, "shingle long, signature long, n long, pivot long"))
+    return (rows.repartition("shingle").sortWithinPartitions("shingle", "place", "signature")
+            .mapInArrow(read, "shingle long, signature long, n int, place int, pivot long"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -192,14 +199,13 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     named = (shared.join(joined.withColumnRenamed("id", "signature"), "signature", "left")
              .withColumn("component", F.coalesce("component", "signature")))
     apart = named.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least != most").select("shingle")
-    rows = materialise(named.join(apart, "shingle").select("shingle", "signature", "n", "component"))
-    left, right = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("signature", "n", "component")]) for side in "ab")
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    rest = F.greatest(*[F.ceil(F.lit(percent) * n / 100) - 1 for n in (n_a, n_b)])  # shingles outside the prefix
+    rows = materialise(named.join(apart, "shingle").select("shingle", "signature", "n", "place", "component"))
+    left, right = (rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("signature", "n", "place", "component")]) for side in "ab")
     products = (left.join(right, "shingle")
-                .filter((F.col("component_a") < F.col("component_b")) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)))
-                .groupBy(F.col("signature_a").alias("a"), F.col("signature_b").alias("b"), "n_a", "n_b").agg(F.count(F.lit(1)).alias("overlap"))
-                .filter((100 + percent) * (F.col("overlap") + rest) >= percent * (n_a + n_b)).select("a", "b"))
+                .filter((F.col("component_a") < F.col("component_b"))
+                        & reachable(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
+                .groupBy(F.col("signature_a").alias("a"), F.col("signature_b").alias("b")).agg(F.count(F.lit(1)).alias("overlap"))
+                .select("a", "b"))
     more = verified(products, texts, words, percent)
     final = components(stars.union(more)).withColumnRenamed("id", "signature")
 
