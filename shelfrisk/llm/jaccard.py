@@ -185,11 +185,11 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     counts = added(first.filter("part is not null").select("part", "counts"))
     shared = materialise(shared_rows(prefix_rows(documents, words, percent, counts), percent))
 
-    # One text for each set that may have a partner.
+    # A text of each set that may have a partner.
     owners = (sets.filter("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
               .join(shared.select("signature").distinct(), "signature"))
     marked = documents.filter("doc_id is not null")
-    texts = materialise(marked.join(owners, "doc_id").mapInArrow(_own_text(words), "signature long, text string").dropDuplicates(["signature"]))
+    texts = materialise(marked.join(owners, "doc_id").mapInArrow(_own_text(words), "signature long, text string"))
 
     pairs = shared.filter("pivot != signature").select(F.col("pivot").alias("a"), F.col("signature").alias("b")).distinct()
     stars = materialise(verified(pairs, texts, words, percent))
