@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Plain decimal numbers, the amount that stands for a trace of rain, weekend days
+# Plain decimal numbers, days as text, the amount that stands for a trace of rain, weekend days
 # (Sunday is 1) and the weather codes behind each flag.
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+DAY = r"^\s*([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})(?![0-9])"
 TRACE_CODE = "T"
 TRACE_AMOUNT = 0.002
 WEEKEND_DAYS = (1, 7)
@@ -17,8 +18,10 @@ STORM_CODES = r"\+fc|fc|ts|gr|sq"
 
 
 def to_day(c: Column) -> Column:
-    """ISO text, timestamp or date to a date; unreadable text becomes NULL."""
-    return F.substring(c.cast("string"), 1, 10).try_cast("date")
+    """Text that starts with year-month-day or year/month/day, timestamp or date to a date; other text becomes NULL."""
+    text = c.cast("string")
+    found = [F.regexp_extract(text, DAY, group) for group in (1, 3, 4)]
+    return F.when(text.rlike(DAY), F.concat_ws("-", *found).try_cast("date"))
 
 
 def to_number(c: Column) -> Column:

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from shelfrisk.session import attach, broadcast_if_small, materialise
 
-# A predictor is undefined when earlier ones leave less than this share of its variance.
+# A predictor is undefined when earlier ones leave less than this share of its variance. Stricter than a QR
+# decomposition of the rows, which drops columns below 1e-7 of their norm (1e-14 in variance): covariances in
+# double precision do not carry that many digits.
 TOLERANCE = 1e-12
 
 
 def fit_linear(rows: DataFrame, group: str, target: str, predictors: list[str],
                tolerance: float = TOLERANCE) -> DataFrame:
-    """One row per group: `n`, `intercept`, `b_<predictor>`, `full_rank`.
+    """One row per group: `n`, `intercept`, `b_<predictor>`, `full_rank`, `status`.
+
+    `status` says why a group has no usable model: 'fitted', 'missing values', 'too few rows' or 'undefined
+    coefficients'. One failing group never stops the others.
 
     Coefficients of predictors that earlier ones determine are NULL and the others are fitted
     without them. The moments are merged from partial aggregates, so a hot group is no special case.
@@ -32,7 +37,10 @@ def fit_linear(rows: DataFrame, group: str, target: str, predictors: list[str],
         F.array(*[F.covar_pop(x[i], x[j]) for i, j in pairs]).alias("products"))
     fields = [f"`{group}` {rows.schema[group].dataType.simpleString()}", "n long", "intercept double",
               *[f"`b_{p}` double" for p in predictors], "full_rank boolean"]
-    return materialise(moments.mapInPandas(_solver(group, predictors, pairs, tolerance), ", ".join(fields)))
+    solved = moments.mapInPandas(_solver(group, predictors, pairs, tolerance), ", ".join(fields))
+    missing = F.col("intercept").isNull() | F.isnan("intercept")
+    return materialise(solved.withColumn("status", F.when(F.col("full_rank") & ~missing, "fitted").when(missing, "missing values")
+                                         .when(F.col("n") <= size, "too few rows").otherwise("undefined coefficients")))
 
 
 def _solver(group: str, predictors: list[str], pairs: list[tuple[int, int]], tolerance: float):

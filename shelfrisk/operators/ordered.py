@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from shelfrisk.session import BROADCAST_BYTES, TASK_ROWS, attach, broadcast_if_small, materialise, row_count
 
-RANGES = 256
-
 
 def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
     """(keys, value, n): how often each present value occurs, counted before the shuffle."""
@@ -24,19 +22,21 @@ def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None
     return present.groupBy(*keys, F.col(value).alias("value")).agg(n.cast("long").alias("n"))
 
 
+def largest_group(counts: DataFrame, keys: list[str]) -> int:
+    return counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0] or 0
+
+
 def fits_one_task(counts: DataFrame, keys: list[str], task_rows: int = TASK_ROWS) -> bool:
     """Whether no group of `counts` has more than `task_rows` rows."""
-    if row_count(counts) <= task_rows:
-        return True
-    largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0]
-    return largest <= task_rows
+    return row_count(counts) <= task_rows or largest_group(counts, keys) <= task_rows
 
 
 def running_totals(counts: DataFrame, keys: list[str], sums: list[str], order: str = "value",
-                   task_rows: int = TASK_ROWS, ranges: int = RANGES, small: bool | None = None) -> DataFrame:
+                   task_rows: int = TASK_ROWS, ranges: int | None = None, small: bool | None = None) -> DataFrame:
     """Add `<s>_upto` and `<s>_all` for each of `sums`, and `next_<order>`, within each group.
 
-    `counts` holds each (keys, order) once. Pass a materialised table unless `small` is known.
+    `counts` holds each (keys, order) once. Pass a materialised table unless `small` is known. A group too large for
+    one task is cut into `ranges`, by default twice as many as the largest group needs.
     """
     if small is None:
         small = fits_one_task(counts, keys, task_rows)
@@ -48,6 +48,7 @@ def running_totals(counts: DataFrame, keys: list[str], sums: list[str], order: s
             **{f"{s}_all": F.sum(s).over(whole) for s in sums},
             f"next_{order}": F.lead(order).over(whole.orderBy(order)),
         })
+    ranges = ranges or max(4, -(-2 * largest_group(counts, keys) // task_rows))
     return _ranged_totals(counts, keys, sums, order, ranges)
 
 
@@ -87,7 +88,7 @@ def _ranged_totals(counts: DataFrame, keys: list[str], sums: list[str], order: s
 
 
 def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, float], task_rows: int = TASK_ROWS,
-                        ranges: int = RANGES, small: bool | None = None) -> DataFrame:
+                        ranges: int | None = None, small: bool | None = None) -> DataFrame:
     """One row per group with an exact, linearly interpolated quantile for each of `probs`."""
     totals = running_totals(counts, keys, ["n"], task_rows=task_rows, ranges=ranges, small=small)
     bounds = []
@@ -111,10 +112,3 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     """Exact quantiles of `value` per group; missing values are ignored (see `value_counts`)."""
     counts = materialise(value_counts(df, keys, value, weight))
     return quantiles_of_counts(counts, keys, probs, task_rows)
-
-
-def nth_rank(counts: DataFrame, keys: list[str], share: float, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Per group, the value up to which `floor(share * rows)` rows lie (`cut`)."""
-    totals = running_totals(counts, keys, ["n"], task_rows=task_rows)
-    wanted = F.floor(F.col("n_all") * F.lit(share))
-    return totals.groupBy(*keys).agg(F.max(F.when(F.col("n_upto") <= wanted, F.col("value"))).alias("cut"))

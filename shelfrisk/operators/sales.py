@@ -14,8 +14,6 @@ READINGS = ["tmax", "tmin", "tavg", "depart", "dewpoint", "wetbulb", "heat", "co
             "snowfall", "preciptotal", "stnpressure", "sealevel", "resultspeed", "resultdir", "avgspeed"]
 JOINED = ["date", "store_nbr", "item_nbr", "units", "station_nbr", *READINGS]
 FLAGS = ["is_weekend", "is_rainy_day", "is_snowy_day", "is_stormy_day"]
-# Sums and means are kept to this many digits, so they do not depend on the order of addition.
-DIGITS = 6
 
 
 def units_by_product(sales: DataFrame) -> DataFrame:
@@ -144,9 +142,9 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
 def product_days(capped: DataFrame) -> DataFrame:
     """One row per product and day: capped units summed, readings averaged, any-flag; no gaps left."""
     rolled = (capped.withColumn("date", S.to_day(F.col("date"))).groupBy("item_nbr", "date")
-              .agg(F.round(F.coalesce(F.sum("units_capped"), F.lit(0.0)), DIGITS).alias("units"),
-                   F.round(F.avg("tavg"), DIGITS).alias("tavg"),
-                   F.round(F.avg("preciptotal"), DIGITS).alias("preciptotal"),
+              .agg(F.coalesce(F.sum("units_capped"), F.lit(0.0)).alias("units"),
+                   F.avg("tavg").alias("tavg"),
+                   F.avg("preciptotal").alias("preciptotal"),
                    F.any_value("is_weekend").alias("is_weekend"),
                    *[F.max(F.col(f).cast("int")).alias(f) for f in FLAGS[1:]]))
     return C.drop_missing(rolled, ["units", "tavg", "preciptotal", *FLAGS])
@@ -161,8 +159,11 @@ def units_by_flag(days: DataFrame) -> DataFrame:
     """Mean units per product and value of the weekend, rain and snow flags, in one pass."""
     flags = F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).cast("int").alias("value"))
                                 for f in FLAGS[:3]]))
+    # The weekend flag is a truth value, the others are 0 or 1.
+    truth = F.upper(F.col("f.value").cast("boolean").cast("string"))
+    label = F.when(F.col("f.flag") == FLAGS[0], truth).otherwise(S.group_label(F.col("f.value")))
     return (days.select("item_nbr", "units", flags.alias("f"))
-            .groupBy("item_nbr", F.col("f.flag").alias("flag"), S.group_label(F.col("f.value")).alias("flag_value"))
+            .groupBy("item_nbr", F.col("f.flag").alias("flag"), label.alias("flag_value"))
             .agg(F.avg("units").alias("avg_units")))
 
 

@@ -2,40 +2,64 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrisk.operators.ordered import nth_rank, value_counts
-from shelfrisk.session import attach, broadcast_if_small, materialise, row_count
+from shelfrisk.session import TASK_ROWS, attach, broadcast_if_small, materialise, row_count
 
-# Hex digits of the digest that rank a row (15 fit a long) and that spread rows over tasks.
-RANK_DIGITS = 15
-SPREAD_DIGITS = 3
+# Rows of one digest prefix, about: what one task sorts.
+PREFIX_ROWS = TASK_ROWS // 16
 
 
 def row_digest(keys: list[str], seed: str = "") -> Column:
-    """md5 of the row's keys, as hex text."""
-    return F.md5(F.concat(F.lit(seed), F.concat_ws("|", *[F.col(k).cast("string") for k in keys])))
+    """md5 of the row's keys, as hex text; a missing key and a separator inside a key are written so that they
+    differ from any other keys."""
+    parts = []
+    for key in keys:
+        text = F.replace(F.replace(F.col(key).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        parts.append(F.coalesce(text, F.lit("\\N")))
+    return F.md5(F.concat(F.lit(seed), F.concat_ws("|", *parts)))
+
+
+def _check_share(share: float) -> None:
+    if not 0 <= share <= 1:
+        raise ValueError(f"share must lie in 0..1, not {share}")
+
+
+def _prefix_digits(rows: int) -> int:
+    """Hex digits of the digest that cut `rows` rows into prefixes of about PREFIX_ROWS."""
+    return max(1, math.ceil(math.log(max(1, rows / PREFIX_ROWS), 16)))
 
 
 def random_split(df: DataFrame, keys: list[str], share: float = 0.8, seed: str = "") -> DataFrame:
     """Add `split`: 'train' for about `share` of the rows, picked by digest, else 'test'."""
-    limit = f"{round(share * 16**8):08x}"
-    picked = F.substring(row_digest(keys, seed), 1, 8) < F.lit(limit)
-    return df.withColumn("split", F.when(picked, F.lit("train")).otherwise(F.lit("test")))
+    _check_share(share)
+    number = F.conv(F.substring(row_digest(keys, seed), 1, 8), 16, 10).cast("long")
+    return df.withColumn("split", F.when(number < F.lit(round(share * 16**8)), F.lit("train")).otherwise(F.lit("test")))
 
 
 def exact_split(df: DataFrame, keys: list[str], share: float = 0.8, seed: str = "") -> DataFrame:
     """Add `split` with exactly `floor(share * rows)` training rows: those with the lowest digests.
 
-    `keys` must identify a row, so digests do not tie.
+    `keys` must identify a row, so digests do not tie. Rows are counted by digest prefix; only the prefix in which
+    the cut lies is sorted.
     """
-    rank = F.conv(F.substring(row_digest(keys, seed), 1, RANK_DIGITS), 16, 10).cast("long")
-    ranked = df.withColumn("__rank", rank)
-    counts = materialise(value_counts(ranked.withColumn("__all", F.lit(1)), ["__all"], "__rank"))
-    cut = materialise(nth_rank(counts, ["__all"], share)).select("cut").scalar()
-    train = F.col("__rank") <= F.coalesce(cut, F.lit(-1))
-    return ranked.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("__rank")
+    _check_share(share)
+    marked = df.withColumn("__digest", row_digest(keys, seed))
+    rows = df.count()
+    wanted, digits = math.floor(share * rows), _prefix_digits(rows)
+    prefix = F.substring("__digest", 1, digits)
+    counts = materialise(marked.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows")))
+    upto = F.sum("rows").over(Window.orderBy("prefix"))  # one row per prefix
+    last = counts.withColumn("upto", upto).filter(F.col("upto") > wanted).orderBy("prefix").first()
+    if last is None:
+        return marked.withColumn("split", F.lit("train")).drop("__digest")
+    inside = wanted - (last.upto - last.rows)
+    edge = marked.filter(prefix == last.prefix).select("__digest").orderBy("__digest").limit(inside).agg(F.max("__digest")).first()[0]
+    train = (prefix < last.prefix) | F.coalesce((prefix == last.prefix) & (F.col("__digest") <= F.lit(edge)), F.lit(False))
+    return marked.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("__digest")
 
 
 def hashed_folds(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
@@ -50,8 +74,9 @@ def stratified_folds(df: DataFrame, target: str, row_id: str, k: int = 5) -> Dat
     Rows of a class are ranked by digest and cut into k runs. The rank is the row's place inside
     its digest prefix plus the rows of lower prefixes, so a class is never sorted in one task.
     """
+    digits = _prefix_digits(df.count())
     digest = row_digest([row_id])
-    placed = df.withColumns({"__digest": digest, "__prefix": F.substring(digest, 1, SPREAD_DIGITS)})
+    placed = df.withColumns({"__digest": digest, "__prefix": F.substring(digest, 1, digits)})
     per_prefix = materialise(placed.groupBy(target, "__prefix").agg(F.count(F.lit(1)).alias("rows")))
     per_class = per_prefix.groupBy(target).agg(F.sum("rows").alias("rows"))
     lower_prefixes = Window.partitionBy(target).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,12 +92,19 @@ def stratified_folds(df: DataFrame, target: str, row_id: str, k: int = 5) -> Dat
     return ranked.withColumn("fold", fold).drop("__digest", "__prefix", "__place", "__before", "__bounds")
 
 
-def _class_bounds(per_class: DataFrame, target: str, k: int) -> DataFrame:
-    """End rank of each fold per class. Odd rows go round the folds from one class to the next."""
-    if row_count(per_class) > 1000:
-        raise ValueError(f"{target} has more than 1000 classes")
-    lower = Window.orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
-    shifted = per_class.withColumn("start", F.coalesce(F.sum("rows").over(lower), F.lit(0)))
+def _class_bounds(per_class: DataFrame, target: str, k: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """End rank of each fold per class. Odd rows go round the folds from one class to the next.
+
+    Classes are dealt over tasks by range: each task adds up its own, and the tasks' totals shift the rest.
+    """
+    tasks = -(-row_count(per_class) // task_rows) or 1
+    dealt = materialise(per_class.repartitionByRange(tasks, target).withColumn("__task", F.spark_partition_id()))
+    totals = dealt.groupBy("__task").agg(F.sum("rows").alias("__rows"))
+    earlier = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    totals = totals.select("__task", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__shift"))
+    lower = Window.partitionBy("__task").orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
+    shifted = (attach(dealt.withColumn("start", F.coalesce(F.sum("rows").over(lower), F.lit(0))), totals, ["__task"])
+               .withColumn("start", F.col("start") + F.col("__shift")))
     # Place j of the class-sorted table belongs to fold j % k: count the places below each end.
     below = [F.floor((F.col("start") + F.col("rows") + k - 1 - i) / k) - F.floor((F.col("start") + k - 1 - i) / k)
              for i in range(k)]

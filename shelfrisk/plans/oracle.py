@@ -277,7 +277,7 @@ from joined where item_nbr = (select item_nbr from ranked where place = {place})
 
 def _by_flag(rows: str) -> str:
     return "\nunion all\n".join(
-        f"""select item_nbr, '{f}' as flag, cast(cast({f} as int) as varchar) as flag_value,
+        f"""select item_nbr, '{f}' as flag, {f"upper(cast(cast({f} as boolean) as varchar))" if f == FLAGS[0] else f"cast(cast({f} as int) as varchar)"} as flag_value,
   round(avg(units), 4) as avg_units from {rows} group by item_nbr, {f}""" for f in FLAGS[:3])
 
 

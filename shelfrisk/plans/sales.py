@@ -95,7 +95,7 @@ def weather_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_day(spark: SparkSession, folder: str) -> DataFrame:
-    return A.product_day_table(*_inputs(spark, folder))
+    return _day_digits(A.product_day_table(*_inputs(spark, folder)))
 
 
 def first_product_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,7 +123,7 @@ def model_days(spark: SparkSession, folder: str) -> DataFrame:
     """Product-days of the top products with their split, stored because every model reads them."""
     sales, stores, weather = _inputs(spark, folder)
     days = A.product_day_table(sales, stores, weather, A.top_products(sales, TOP))
-    return materialise(P.random_split(days, ["item_nbr", "date"]))
+    return materialise(P.random_split(_day_digits(days), ["item_nbr", "date"]))
 
 
 def train_days(days: DataFrame) -> DataFrame:
@@ -228,6 +228,11 @@ def impact_summary(spark: SparkSession, folder: str) -> DataFrame:
     return impact(*fit_models(model_days(spark, folder)))
 
 
+def _day_digits(days: DataFrame) -> DataFrame:
+    """Product-days as both engines agree on them: sums and means of doubles depend on the order of the rows."""
+    return _rounded(days, ["units", "tavg", "preciptotal"], 6)
+
+
 def _rounded(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 

@@ -17,6 +17,7 @@ TASK_ROWS = 1_000_000
 # Up to this many rows, working a result out again is cheaper than storing it.
 CHEAP_ROWS = 200_000
 
+_STORED: list[str] = []
 _SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 _WIDTHS = {T.StringType: 40, T.BooleanType: 1, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
 
@@ -41,6 +42,7 @@ def materialise(df: DataFrame, **totals: Column) -> DataFrame:
     `totals` asked for, are added up on the way: see `row_count` and `total_of`.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/shelfrisk-{uuid.uuid4().hex}"
+    _STORED.append(path)
     seen = Observation()
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in totals.items()])
     watched.write.parquet(path)
@@ -49,6 +51,17 @@ def materialise(df: DataFrame, **totals: Column) -> DataFrame:
     return table
 
 
+def release(spark: SparkSession) -> int:
+    """Delete every table that `materialise` has stored in this process; returns how many. Results that still read
+    from them must have been written or collected before."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = len(_STORED)
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return gone
+
+
 def stored(df: DataFrame) -> DataFrame:
     """`df` itself if `materialise` made it, else its stored copy."""
     return df if df in _SEEN else materialise(df)

@@ -31,7 +31,8 @@ def test_rain_text(spark):
 def test_numbers_and_days(spark):
     assert column(spark, ["5", " -1.5e2 ", "M", "1f", "nan", ""], "string", S.to_number) == [5, -150, None, None, None, None]
     assert column(spark, ["M", "50", "12x", None], "string", S.leading_number) == [0.0, 50.0, 12.0, None]
-    assert column(spark, ["2024-01-06", "x", None], "string", S.to_day) == [day(2024, 1, 6), None, None]
+    texts = ["2024-01-06", "x", None, "2024/01/06", "2024-1-6 10:00", "2024", "2024-01", "2024-01/06", "2024-02-30", "2024-01-066"]
+    assert column(spark, texts, "string", S.to_day) == [day(2024, 1, 6), None, None, day(2024, 1, 6), day(2024, 1, 6), *[None] * 5]
     nan, inf = float("nan"), float("inf")
     assert column(spark, [1.0, None, nan, inf], "double", S.is_finite) == [True, False, False, False]
     assert column(spark, [1.0, None, nan, inf], "double", S.is_missing) == [False, True, True, False]
@@ -103,6 +104,13 @@ def test_running_totals(spark, task_rows):
     assert got[("b", 1.0)]["next_value"] is None and len(got) == len(rows)
 
 
+def test_product_days_keep_tiny_amounts(spark):
+    row = (1, datetime.date(2024, 1, 1), 4e-7, 1.0, 1e-9, False, False, False, False)
+    columns = ["item_nbr", "date", "units_capped", "tavg", "preciptotal", *A.FLAGS]
+    (only,) = A.product_days(spark.createDataFrame([row], columns)).collect()
+    assert (only.units, only.preciptotal) == (4e-7, 1e-9)
+
+
 def test_product_days_rules(spark):
     schema = ("item_nbr int, date date, units_capped double, tavg double, preciptotal double, is_weekend boolean, "
               "is_rainy_day boolean, is_snowy_day boolean, is_stormy_day boolean")
@@ -136,21 +144,26 @@ def test_imputing_the_station_table_equals_imputing_joined_rows(shop):
     assert sorted(map(str, ours.collect())) == sorted(map(str, direct.select(columns).collect()))
 
 
+def rounded(days):
+    """Rows as text; sums and means of doubles depend on the order of the rows."""
+    return sorted(map(str, days.withColumns({c: F.round(c, 9) for c in ("units", "tavg", "preciptotal")}).collect()))
+
+
 def test_large_tables_take_the_shuffle_path_with_the_same_result(shop, monkeypatch):
     sales, stores, weather = shop
-    usual = sorted(map(str, A.product_day_table(sales, stores, weather, task_rows=20).collect()))
+    usual = rounded(A.product_day_table(sales, stores, weather, task_rows=20))
     for module in (A, C, O, SS):
         monkeypatch.setattr(module, "broadcast_if_small", lambda df, *_, **__: df)
     monkeypatch.setattr(A, "fits_broadcast", lambda *_, **__: False)
     monkeypatch.setattr(A, "CHEAP_ROWS", 10)
-    assert sorted(map(str, A.product_day_table(sales, stores, weather).collect())) == usual
+    assert rounded(A.product_day_table(sales, stores, weather)) == usual
 
 
 def test_medians_come_from_all_products(shop):
     sales, stores, weather = shop
     top = A.top_products(sales, 1)
-    part = A.product_day_table(sales, stores, weather, top).collect()
-    whole = A.product_day_table(sales, stores, weather).join(top, "item_nbr", "left_semi").collect()
+    part = rounded(A.product_day_table(sales, stores, weather, top))
+    whole = rounded(A.product_day_table(sales, stores, weather).join(top, "item_nbr", "left_semi"))
     assert sorted(map(str, part)) == sorted(map(str, whole))
 
 
@@ -206,3 +219,37 @@ def test_folds_are_even(spark):
         assert len(counts) == 5 and max(counts) - min(counts) <= 1
     totals = [sum(r["count"] for r in sizes if r["fold"] == f) for f in range(5)]
     assert sum(totals) == 503 and max(totals) - min(totals) <= 1
+
+
+def test_shares_at_the_ends(spark):
+    rows = spark.range(500).withColumnRenamed("id", "k")
+    for split in (P.random_split, P.exact_split):
+        assert dict(split(rows, ["k"], 0).groupBy("split").count().collect()) == {"test": 500}
+        assert dict(split(rows, ["k"], 1).groupBy("split").count().collect()) == {"train": 500}
+        with pytest.raises(ValueError):
+            split(rows, ["k"], 1.5)
+
+
+def test_exact_split_with_small_prefixes(spark, monkeypatch):
+    rows = spark.range(3000).withColumnRenamed("id", "k")
+    usual = sorted(map(str, P.exact_split(rows, ["k"], 0.37).collect()))
+    monkeypatch.setattr(P, "PREFIX_ROWS", 5)
+    assert sorted(map(str, P.exact_split(rows, ["k"], 0.37).collect())) == usual
+    assert sum("train" in r for r in usual) == 1110
+
+
+def test_missing_keys_have_their_own_digest(spark):
+    rows = spark.createDataFrame([(None, "a"), ("a", None), ("a|", "b"), ("a", "|b"), ("", "a"), (None, None), ("\\N", "a")], "x string, y string")
+    assert rows.select(P.row_digest(["x", "y"])).distinct().count() == 7
+
+
+def test_folds_of_many_classes(spark):
+    rows = spark.range(4500).selectExpr("id as k", "concat('c', id % 1500) as target")
+    folds = P.stratified_folds(rows, "target", "k").groupBy("fold").count().collect()
+    assert {r["fold"]: r["count"] for r in folds} == {f: 900 for f in range(5)}
+
+
+def test_classes_dealt_over_tasks(spark):
+    sizes = spark.range(40).selectExpr("id as target", "id % 7 as rows")
+    one, many = (P._class_bounds(sizes_, "target", 5, rows) for sizes_, rows in ((P.materialise(sizes), 1000), (P.materialise(sizes), 6)))
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))

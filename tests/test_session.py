@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -40,3 +41,12 @@ def test_null_keys_match(spark):
     right = spark.createDataFrame([(None, "n"), (2, "t")], "k int, w string")
     assert {(r["k"], r["v"], r["w"]) for r in SS.attach(left, right, ["k"]).collect()} == {
         (None, 1, "n"), (2, 2, "t"), (3, 3, None)}
+
+
+def test_release_deletes_stored_tables(spark):
+    table = SS.materialise(spark.range(10))
+    path = table.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    kept, SS._STORED[:] = SS._STORED[:-1], SS._STORED[-1:]
+    assert SS.release(spark) == 1 and not os.path.exists(path)
+    SS._STORED[:] = kept
