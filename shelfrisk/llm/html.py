@@ -61,6 +61,8 @@ class Page(HTMLParser):
         if tag not in INLINE:
             self.block += 1
         if tag in VOID:
+            if tag == "br":
+                self.handle_data(" ")
             return
         self.made += 1
         given = {k: v or "" for k, v in attrs}

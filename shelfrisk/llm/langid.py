@@ -73,7 +73,7 @@ class Model:
                 if k == 1 or (k - 1, c & (256 ** (k - 1) - 1)) in where:
                     where[k, c] = len(where)
         counts = np.zeros((len(langs), len(where), s), dtype=np.float32)
-        node = np.array([where.get(p, -1) for p in zip(order.tolist(), context.tolist())])
+        node = np.array([where.get(p, -1) for p in zip(order.tolist(), context.tolist())], dtype=np.int64)
         kept = node >= 0
         counts[lang[kept], node[kept], self.symbol[byte[kept]]] = n[kept]
         self.nodes = np.zeros((s, s, s), dtype=np.int32)
@@ -95,7 +95,7 @@ class Model:
                 self.nodes[:, last[1], last[0]] = at
             elif k == 3:
                 self.nodes[last[2], last[1], last[0]] = at
-        self.bits = bits.reshape(-1, len(langs))
+        self.bits = bits.reshape(len(where) * s, len(langs))
 
     def code_lengths(self, data: bytes, piece: int = 1 << 20) -> np.ndarray:
         """Bits that each language's statistics need for the whole text."""

@@ -56,7 +56,7 @@ def mix(docs: DataFrame, levels: list[str], weights: dict[str, dict[str, float]]
     """doc_id, the levels, epoch and n_tokens of every document taken, once per epoch.
 
     Tokens are runs of characters other than space and the controls 9 to 13. NULL and empty texts have none and come
-    with every whole epoch and with any partial one. A NULL level value is a value of its own; a NULL doc_id sorts by
+    with every whole epoch and with any partial one; a leaf without any tokens is left out. A NULL level value is a value of its own; a NULL doc_id sorts by
     the empty id. Rows with equal doc_id in a leaf are taken together or not at all. Other columns are ignored; names
     of levels must not be doc_id, epoch or n_tokens.
     """

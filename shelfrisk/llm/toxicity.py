@@ -26,6 +26,7 @@ CONTEXT = 80  # characters on each side of a hit in which its quotation marks ar
 NEAR = 200  # characters within which hits are counted as one outburst
 # Opening and closing quotation marks.
 QUOTES = [('"', '"'), ("“", "”"), ("„", "“"), ("«", "»"), ("‘", "’")]
+QUOTED = re.compile("|".join(f"{a}[^{b}\n]{{1,{2 * CONTEXT}}}{b}" for a, b in QUOTES))
 SHORTEST_STEM, FUZZY_FROM, LONGEST_TERM = 3, 5, 24
 PLAIN, FUZZY_WORD, FUZZY_STEM = 1, 2, 3
 
@@ -154,14 +155,15 @@ def features(text: str, lexicon: Lexicon, cache: dict[str, int]) -> list[float]:
 
 
 def term_counts(labelled: DataFrame) -> DataFrame:
-    """(word, toxic, clean): different contexts in toxic texts, so that copies of a text count once, and uses in others."""
+    """(word, toxic, clean): different contexts in toxic texts, so that copies of a text count once, and uses in others.
+    What stands in quotation marks is left out: harmless texts quote what others said."""
 
     def count(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 clean, toxic = Counter(), set()
                 for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
-                    words = TOKEN.findall(text.lower())
+                    words = TOKEN.findall(QUOTED.sub(" ", text.lower()))
                     if not label:
                         clean.update(w for w in words if len(w) <= LONGEST_TERM)
                         continue
@@ -239,7 +241,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int =
 
 
 def _featured(docs: DataFrame, words: list[str], stems: list[str], carry: list[str]) -> DataFrame:
-    """The columns to carry, then held_out and features."""
+    """carried (a struct of the columns to carry), held_out, features."""
     source = docs.select("text", held_out().alias("held_out"), F.struct(*carry).alias("carried"))
     schema = T.StructType([source.schema["carried"], source.schema["held_out"], T.StructField("features", T.ArrayType(T.DoubleType()))])
 
@@ -251,7 +253,7 @@ def _featured(docs: DataFrame, words: list[str], stems: list[str], carry: list[s
                 yield pa.RecordBatch.from_arrays([part.column("carried"), part.column("held_out"), pa.array(rows, pa.list_(pa.float64()))],
                                                  names=["carried", "held_out", "features"])
 
-    return source.mapInArrow(run, schema).select("carried.*", "held_out", "features")
+    return source.mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Model:
@@ -263,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Mode
     labelled = (docs.select("doc_id", "text").filter("text is not null")
                 .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))  # at most most_labels small rows
     words, stems = learn_terms(labelled)
-    rows = _featured(labelled, words, stems, ["toxic"]).select("features", "toxic").collect()
+    rows = _featured(labelled, words, stems, ["toxic"]).select("features", "carried.toxic").collect()
     if not rows:
         return Model([], [], np.zeros(6))
     x, y = np.array([r.features for r in rows]), np.array([float(r.toxic) for r in rows])
@@ -280,7 +282,8 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Data
     """doc_id, the columns to carry, held_out, score, predicted of every whole text.
 
     NULL and empty texts get the score of a text without hits. Rows stand alone; a NULL doc_id is not held out. Without
-    any labels every score is 0.5. Columns not carried are ignored.
+    any labels every score is 0.5. Columns not carried are ignored;
+    carried ones must not be called held_out, score or predicted.
     """
     weights = [float(w) for w in model.weights]
     z = F.lit(weights[0])
@@ -288,5 +291,5 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Data
         z = z + F.col("features")[i] * F.lit(w)
     kept = ["doc_id", *(carry or [])]
     return (_featured(docs.withColumn("doc_id", F.col("doc_id").cast("long")), model.words, model.stems, kept)
-            .select(*kept, "held_out", (1 / (1 + F.exp(-z))).alias("score"))
+            .select("carried.*", "held_out", (1 / (1 + F.exp(-z))).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
