@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrisk.operators.metrics import precision_recall
-from shelfrisk.operators.schema import check_scoring_input, quoted
+from shelfrisk.operators.schema import check_scoring_columns, no_missing, quoted
 from shelfrisk.operators.sparse import FEATURES, dense, labelled
 from shelfrisk.session import materialise, row_count
 
@@ -85,8 +85,12 @@ def load_model(path: str) -> GBTClassificationModel:
 
 
 def score(df: DataFrame, model: GBTClassificationModel, columns: list[str], keep: list[str] | None = None) -> DataFrame:
-    """`keep` and `predicted_risk_class` (0 or 1) for a frame of exactly the feature columns."""
+    """`keep` and `predicted_risk_class` (0 or 1) for a frame of exactly the feature columns.
+
+    Values are checked while they are scored: a NULL or NaN feature ends the job.
+    """
     kept = keep or []
-    check_scoring_input(df.drop(*kept), columns)
-    scored = model.transform(wide_rows(df, columns, kept))
+    check_scoring_columns(df.drop(*kept), columns)
+    checked = df.select(*[quoted(c) for c in kept], *[no_missing(c) for c in columns])
+    scored = model.transform(wide_rows(checked, columns, kept))
     return scored.select(*[quoted(c) for c in kept], F.col("prediction").cast("int").alias("predicted_risk_class"))

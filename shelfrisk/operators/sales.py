@@ -48,9 +48,10 @@ def with_station(sales: DataFrame, stores: DataFrame) -> DataFrame:
 def with_readings(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
     """Sales with the readings of their station and day; unmatched sales are dropped.
 
-    Select only the needed columns of `weather` first: it is broadcast when they fit.
+    Select only the needed columns of `weather` first: it is broadcast when they fit. It is stored, so that counting
+    it does not work it out twice.
     """
-    return with_station(sales, stores).join(broadcast_if_small(weather), ["station_nbr", "date"])
+    return with_station(sales, stores).join(broadcast_if_small(stored(weather)), ["station_nbr", "date"])
 
 
 def joined_table(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:

@@ -57,8 +57,11 @@ def named_long(long: DataFrame, mapping: DataFrame) -> DataFrame:
     return joined.withColumn("feature_name", F.coalesce("feature_name", feature_name(F.col("feature_number"))))
 
 
-def check_scoring_input(df: DataFrame, columns: list[str], reserved: tuple[str, ...] = ("target", "risk_score")) -> None:
-    """Raise unless `df` has exactly `columns`, all numeric, in order, without NULL or NaN."""
+MISSING = "scoring input has missing values; encode absent features as 0"
+
+
+def check_scoring_columns(df: DataFrame, columns: list[str], reserved: tuple[str, ...] = ("target", "risk_score")) -> None:
+    """Raise unless `df` has exactly `columns`, all numeric, in order."""
     found = [c for c in df.columns if c in reserved]
     if found:
         raise ValueError(f"scoring input must not hold {found}")
@@ -68,7 +71,19 @@ def check_scoring_input(df: DataFrame, columns: list[str], reserved: tuple[str,
     text = [f.name for f in df.schema if not isinstance(f.dataType, T.NumericType)]
     if text:
         raise ValueError(f"features must be numeric: {text[:5]}")
+
+
+def no_missing(column: str) -> Column:
+    """The column; a NULL or NaN ends the job that reads it."""
+    value = quoted(column)
+    missing = value.isNull() | F.isnan(value.cast("double"))
+    return F.when(missing, F.raise_error(F.lit(MISSING))).otherwise(value).alias(column)
+
+
+def check_scoring_input(df: DataFrame, columns: list[str], reserved: tuple[str, ...] = ("target", "risk_score")) -> None:
+    """Raise unless `df` has exactly `columns`, all numeric, in order, without NULL or NaN. Reads all rows."""
+    check_scoring_columns(df, columns, reserved)
     values = F.array(*[quoted(c).cast("double") for c in columns])
     # An aggregate, not a filter: a filter would be pushed into the expressions that made the columns.
     if df.agg(F.bool_or(F.exists(values, lambda v: v.isNull() | F.isnan(v)))).first()[0]:
-        raise ValueError("scoring input has missing values; encode absent features as 0")
+        raise ValueError(MISSING)

@@ -140,9 +140,9 @@ def units_by_flag(spark: SparkSession, folder: str) -> DataFrame:
 
 def units_by_flag_chosen(spark: SparkSession, folder: str) -> DataFrame:
     """The chart's own product list, whatever the top products are."""
-    split = P.random_split(product_day(spark, folder), ["item_nbr", "date"])
-    chosen = train_days(split).filter(F.col("item_nbr").isin(5, 9, 45))
-    return _rounded(A.units_by_flag(chosen), ["avg_units"])
+    chosen = spark.createDataFrame([(5,), (9,), (45,)], "item_nbr int")
+    days = _day_digits(A.product_day_table(*_inputs(spark, folder), chosen))
+    return _rounded(A.units_by_flag(train_days(P.random_split(days, ["item_nbr", "date"]))), ["avg_units"])
 
 
 def temp_trend(spark: SparkSession, folder: str) -> DataFrame:

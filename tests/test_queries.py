@@ -1,4 +1,5 @@
 import os
+import re
 
 import duckdb
 import pytest
@@ -22,7 +23,9 @@ def second_engine():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == TRAINED
+    # The optional training-data queries have their own tests.
+    own = {name for name in entry.queries() if not re.fullmatch(r"op\d+_.*|pipeline", name)}
+    assert own - set(entry.oracle_sql()) == TRAINED
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))

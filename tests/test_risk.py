@@ -1,6 +1,8 @@
 import math
+import random
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from shelfrisk.operators import boosting as B
@@ -117,3 +119,18 @@ def test_classifier(spark, tmp_path):
     assert [tuple(r) for r in first] == [(0, 1), (1, 0)]
     assert B.score(wide, loaded, ["a.x", "b", "c"], keep=["k"]).orderBy("k").collect() == first
     assert B.classifier().getMaxIter() == 100 and B.classifier().getSeed() == 42
+
+
+def test_full_width_scoring(spark, tmp_path):
+    rng = random.Random(1)
+    names = [f"lib.part{i % 60}_{i}" for i in range(483)]
+    rows = [(i, i % 2, *[rng.randrange(4) + 5 * (i % 2) * (j == 7) for j in range(483)]) for i in range(60)]
+    table = spark.createDataFrame(rows, ["k", "target", *names])
+    vectors = B.wide_rows(table, names, ["k", "target"]).withColumn("label", F.col("target").cast("double"))
+    B.save_model(GBTClassifier(maxIter=2, maxDepth=2).fit(vectors), str(tmp_path / "model"))
+    model = B.load_model(str(tmp_path / "model"))
+    scored = B.score(table.drop("target"), model, names, keep=["k"]).collect()
+    assert {r.k: r.predicted_risk_class for r in scored} == {i: i % 2 for i in range(60)}
+    holed = table.drop("target").withColumn(names[0], F.when(F.col("k") != 3, H.quoted(names[0])))
+    with pytest.raises(Exception, match="missing values"):
+        B.score(holed, model, names, keep=["k"]).collect()
