@@ -72,9 +72,10 @@ def impute_medians(df: DataFrame, keys: list[str], columns: list[str], weight: s
     return ready.withColumns(filled).drop(*[f"{c}_{side}" for c in columns for side in ("group", "all")])
 
 
-def upper_caps(df: DataFrame, keys: list[str], value: str, p: float = 0.99, task_rows: int = TASK_ROWS) -> DataFrame:
-    """The exact `p` quantile of each group as `cap`."""
-    return materialise(grouped_quantiles(df, keys, value, {"cap": p}, task_rows=task_rows))
+def upper_caps(df: DataFrame, keys: list[str], value: str, p: float = 0.99, task_rows: int = TASK_ROWS,
+               weight: str | None = None) -> DataFrame:
+    """The exact `p` quantile of each group as `cap`; with `weight`, a row counts that many times."""
+    return materialise(grouped_quantiles(df, keys, value, {"cap": p}, weight, task_rows))
 
 
 def apply_caps(df: DataFrame, caps: DataFrame, keys: list[str], value: str) -> DataFrame:

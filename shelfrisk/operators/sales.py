@@ -95,11 +95,31 @@ def match_counts(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> Dat
     return counts.select(total.alias("n_sales"), "n_matched", (total - F.col("n_matched")).alias("n_dropped"))
 
 
+def sale_counts(sales: DataFrame, stores: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Stored number `n` of sale rows per product, station, date and units: the only pass over the sales that
+    product-days need.
+
+    With `products`, the others' rows are counted per station and day alone (`wanted` is false, product and units NULL),
+    because medians come from all sales.
+    """
+    placed = with_station(sales, stores).withColumn("wanted", F.lit(True))
+    if products is not None:
+        named = products.select("item_nbr").distinct().withColumn("__named", F.lit(True))
+        placed = placed.join(broadcast_if_small(named, rows=row_count(products)), "item_nbr", "left")
+        placed = placed.withColumn("wanted", F.col("__named").isNotNull())
+        placed = placed.withColumns({c: F.when(F.col("wanted"), F.col(c)) for c in ("item_nbr", "units")})
+    return materialise(placed.groupBy("wanted", "item_nbr", "station_nbr", "date", "units")
+                       .agg(F.count(F.lit(1)).alias("n")))
+
+
 def clean_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
     """Stored clean readings of each station and day with sales: `day` as joined on, `n_sales`, readings."""
+    return _clean_of(sales_per_station_day(sales, stores), weather)
+
+
+def _clean_of(per_day: DataFrame, weather: DataFrame) -> DataFrame:
     needed = weather.select("station_nbr", F.col("date").alias("day"), "date", "tavg", "preciptotal", "codesum")
-    counted = needed.join(sales_per_station_day(sales, stores), ["station_nbr", "date"])
-    return materialise(C.clean_readings(counted))
+    return materialise(C.clean_readings(needed.join(per_day, ["station_nbr", "date"])))
 
 
 def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
@@ -108,7 +128,10 @@ def imputed_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame, tas
     A reading counts once per sale it is joined to, so filling the small readings table gives the
     values that filling the joined rows would give. Readings without any sale are dropped.
     """
-    clean = clean_weather(sales, stores, weather)
+    return _filled(clean_weather(sales, stores, weather), task_rows)
+
+
+def _filled(clean: DataFrame, task_rows: int) -> DataFrame:
     filled = C.impute_medians(clean, ["station_nbr", "month"], ["preciptotal", "tavg"], weight="n_sales",
                               task_rows=task_rows)
     readings = C.add_flags(filled).select("station_nbr", F.col("day").alias("date"), "tavg", "preciptotal", "month",
@@ -131,7 +154,8 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
                  task_rows: int = TASK_ROWS) -> DataFrame:
     """`imputed_sales` with units capped at the product's 99th percentile over the joined rows.
 
-    With `products`, only their rows are kept; medians still come from all sales.
+    With `products`, only their rows are kept; medians still come from all sales. For product-days, which need no single
+    rows, `product_day_table` reads the sales less often.
     """
     # The caps and the result both read the products: rank them once.
     chosen = None if products is None else stored(products)
@@ -140,12 +164,20 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
     return C.apply_caps(joined, caps, ["item_nbr"], "units")
 
 
-def product_days(capped: DataFrame) -> DataFrame:
-    """One row per product and day: capped units summed, readings averaged, any-flag; no gaps left."""
+def product_days(capped: DataFrame, weight: str | None = None) -> DataFrame:
+    """One row per product and day: capped units summed, readings averaged, any-flag; no gaps left.
+
+    With `weight`, a row counts that many times.
+    """
+    n = F.lit(1) if weight is None else F.col(weight)
+
+    def mean(reading: str):
+        return F.sum(F.col(reading) * n) / F.sum(F.when(F.col(reading).isNotNull(), n))
+
     rolled = (capped.withColumn("date", S.to_day(F.col("date"))).groupBy("item_nbr", "date")
-              .agg(F.coalesce(F.sum("units_capped"), F.lit(0.0)).alias("units"),
-                   F.avg("tavg").alias("tavg"),
-                   F.avg("preciptotal").alias("preciptotal"),
+              .agg(F.coalesce(F.sum(F.col("units_capped") * n), F.lit(0.0)).alias("units"),
+                   mean("tavg").alias("tavg"),
+                   mean("preciptotal").alias("preciptotal"),
                    F.any_value("is_weekend").alias("is_weekend"),
                    *[F.max(F.col(f).cast("int")).alias(f) for f in FLAGS[1:]]))
     return C.drop_missing(rolled, ["units", "tavg", "preciptotal", *FLAGS])
@@ -153,7 +185,14 @@ def product_days(capped: DataFrame) -> DataFrame:
 
 def product_day_table(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
                       task_rows: int = TASK_ROWS) -> DataFrame:
-    return product_days(capped_sales(sales, stores, weather, products, task_rows))
+    """Product-days of capped units and filled readings. The sales are read once, and once more by a `products` that
+    ranks them."""
+    counts = sale_counts(sales, stores, None if products is None else stored(products))
+    per_day = counts.groupBy("station_nbr", "date").agg(F.sum("n").alias("n_sales"))
+    readings = _filled(_clean_of(per_day, weather), task_rows)
+    joined = counts.filter("wanted").drop("wanted").join(readings, ["station_nbr", "date"])
+    caps = C.upper_caps(joined.select("item_nbr", "units", "n"), ["item_nbr"], "units", task_rows=task_rows, weight="n")
+    return product_days(C.apply_caps(joined, caps, ["item_nbr"], "units"), weight="n")
 
 
 def units_by_flag(days: DataFrame) -> DataFrame:

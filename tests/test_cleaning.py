@@ -167,6 +167,25 @@ def test_medians_come_from_all_products(shop):
     assert sorted(map(str, part)) == sorted(map(str, whole))
 
 
+def test_counted_sales_give_the_days_of_single_sales(shop):
+    sales, stores, weather = shop
+    single = A.product_days(A.capped_sales(sales, stores, weather))
+    assert rounded(A.product_day_table(sales, stores, weather)) == rounded(single)
+
+
+def test_product_days_read_the_sales_once(spark, shop):
+    sales, stores, weather = shop
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def watched(units):
+        read.add(1)
+        return units
+
+    A.product_day_table(sales.withColumn("units", watched("units")), stores, weather).collect()
+    assert read.value == sales.count()
+
+
 def test_daily_units(spark, shop):
     sales = spark.createDataFrame([(day(2024, 1, 1), 1, 7, 2.0), (day(2024, 1, 1), 2, 7, 3.0)],
                                   "date date, store_nbr int, item_nbr int, units double")
