@@ -5,7 +5,8 @@ from __future__ import annotations
 from shelfrisk.operators.sales import FLAGS, READINGS
 from shelfrisk.plans.risk import PLAIN_LIMIT
 from shelfrisk.plans.sales import LINEAR, PREDICTORS, TERM_NAMES, TREE
-from shelfrisk.sources.views import N_FEATURES, SALES_SQL, STORES_SQL, TABLES, WEATHER_SQL
+from shelfrisk.sources.views import (GAPPY_ORDERS_SQL, MESSY_FEATURES, MESSY_LINES_SQL, N_FEATURES, SALES_SQL, STORES_SQL,
+                                     TABLES, WEATHER_SQL)
 
 SPARSE_LINES = """
 select vec_id, concat('0.', cast(label as varchar), case when len(tok) = 0 then '' else ' ' end,
@@ -217,6 +218,23 @@ from called group by fold""",
 }
 
 
+MESSY = {
+    "lines": MESSY_LINES_SQL,
+    "parts": r"select vec_id, string_split_regex(trim(line), '\s+') as w from lines",
+    "tokens": """
+select vec_id, i, try_cast(split_part(w[i], ':', 1) as int) as feature, try_cast(split_part(w[i], ':', 2) as double) as value
+from parts, range(2, 20) r(i) where i <= len(w) and contains(w[i], ':')""",
+    "judged": """
+select vec_id, try_cast(w[1] as double) as risk, case when w[1] = '' then 'blank'
+    when try_cast(w[1] as double) is null then 'bad risk'
+    when vec_id in (select vec_id from tokens where feature is null or value is null) then 'bad pair' end as problem
+from parts""",
+    "cells": """
+select vec_id, feature, arg_max(case when isnan(value) then 0 else value end, i) as value
+from tokens group by vec_id, feature""",
+}
+
+
 def _wide(names: list[str], extra: str = "") -> str:
     columns = ", ".join(f"coalesce(max(case when feature_number = {i} then value end), 0.0) as {name}"
                         for i, name in enumerate(names))
@@ -346,6 +364,18 @@ from (select doc_id, t, string_split_regex(t, '\s+') as w
 where t = '' or not regexp_full_match(w[1], '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?')
   or len(list_filter(w[2:], lambda p: contains(p, ':')
          and not regexp_full_match(p, '[+-]?[0-9]+:[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?(:.*)?'))) > 0""",
+        "messy_rejects": _with(MESSY, "select vec_id, problem from judged where problem is not null"),
+        "messy_wide": _with(MESSY, "select j.vec_id, " + ", ".join(
+            f"coalesce(max(case when feature = {i} then value end), 0.0) as feature_{i}" for i in range(MESSY_FEATURES))
+            + """, max(case when isnan(risk) then 0 else risk end) as risk_score,
+  max(cast(not isnan(risk) and risk >= 0.3 as int)) as target
+from judged j left join cells using (vec_id) where problem is null group by j.vec_id"""),
+        "filled_gaps": _with({"gappy": GAPPY_ORDERS_SQL}, """
+select case when price is null or isnan(price) then 0 else price end as price, 0.0::double as o_discount, o_orderkey
+from gappy"""),
+        "text_days": _with({"gappy": GAPPY_ORDERS_SQL}, """
+select o_orderkey, cast(replace(nullif(regexp_extract(day_text,
+    '^[0-9]{4}(-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}'), ''), '/', '-') as date) as day from gappy"""),
         "risk_label": _sparse("select vec_id, risk_score, target from labels_"),
         "unique_feature_names": _sparse("select feature_name, feature_number from names"),
         "labelled_features": _sparse(_wide([f"f{i % 60}_{i}" for i in range(N_FEATURES)])),

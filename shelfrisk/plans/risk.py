@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrisk.functions import scalars as S
 from shelfrisk.operators import boosting as B
 from shelfrisk.operators import metrics as M
 from shelfrisk.operators import schema as H
@@ -50,6 +51,27 @@ def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
     return Z.rejected(Z.parse_lines(views.table(spark, folder, "documents"), "text")).select("doc_id", "problem")
 
 
+def messy_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Faulty sparse lines with each of the three reasons."""
+    return Z.rejected(Z.parse_lines(views.messy_lines(spark, folder))).select("vec_id", "problem")
+
+
+def messy_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Good lines among faulty ones, with junk words, repeated, negative and far indices and NaN, in the fixed schema."""
+    lines = Z.accepted(Z.parse_lines(views.messy_lines(spark, folder)))
+    return Z.wide(lines, ["vec_id"], views.MESSY_FEATURES)
+
+
+def filled_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """NULL and NaN prices as 0, then forced to known columns and a new one."""
+    return H.force_columns(H.fill_zero(views.gappy_orders(spark, folder)), ["price", "o_discount", "o_orderkey"])
+
+
+def text_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days read from text of several shapes."""
+    return views.gappy_orders(spark, folder).select("o_orderkey", S.to_day(F.col("day_text")).alias("day"))
+
+
 def risk_label(spark: SparkSession, folder: str) -> DataFrame:
     return Z.labelled(_records(spark, folder), HIGH_RISK).select("vec_id", "risk_score", "target")
 
@@ -133,6 +155,7 @@ def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     return B.score(named, B.load_model(path), named.columns[1:], keep=["vec_id"])
 
 
-QUERIES = [sparse_long, sparse_wide, text_folder, rejected_lines, risk_label, unique_feature_names, labelled_features,
+QUERIES = [sparse_long, sparse_wide, text_folder, rejected_lines, messy_rejects, messy_wide,
+           filled_gaps, text_days, risk_label, unique_feature_names, labelled_features,
            labelled_long, flat_files, forced_columns, stratified_folds, hashed_folds, fold_precision_recall,
            mean_precision_recall, gbt_cv, top_importances, score_batch]

@@ -55,6 +55,32 @@ from (select vec_id, label,
 
 N_FEATURES = 64
 
+# Sparse lines that reach every rule: blank, no risk, no number, junk words, repeated, negative and far indices, NaN.
+MESSY_LINES_SQL = """
+select vec_id, case
+    when vec_id % 8 = 0 then '  '
+    when vec_id % 8 = 1 then concat('risk ', v, ':1')
+    when vec_id % 8 = 2 then concat('0.4 ', v, ':abc')
+    when vec_id % 8 = 3 then concat('0.5 junk ', v, ':1 7 ', v, ':2')
+    when vec_id % 8 = 4 then concat('nan ', v, ':1.5')
+    when vec_id % 8 = 5 then concat('0.3 -1:4 ', v, ':nan 9:5')
+    when vec_id % 8 = 6 then concat('0.', v, ' ', v, ':3 6:1 6:nan')
+    else concat(' 0.2  ', v, ':7 ') end as line
+from (select vec_id, cast(vec_id % 6 as string) as v from embeddings) t
+"""
+MESSY_FEATURES = 8
+
+# Orders with gaps in the price and with dates as text of several shapes.
+GAPPY_ORDERS_SQL = """
+select o_orderkey, o_custkey,
+  case when o_orderkey % 7 = 0 then null when o_orderkey % 7 = 1 then cast('NaN' as double)
+       else cast(o_totalprice as double) end as price,
+  case when o_orderkey % 6 = 0 then day when o_orderkey % 6 = 1 then replace(day, '-', '/')
+       when o_orderkey % 6 = 2 then substr(day, 1, 4) when o_orderkey % 6 = 3 then substr(day, 1, 7)
+       when o_orderkey % 6 = 4 then concat(day, ' 10:00') else 'unknown' end as day_text
+from (select o_orderkey, o_custkey, o_totalprice, cast(cast(o_orderdate as date) as string) as day from orders) t
+"""
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -87,6 +113,16 @@ def sparse_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _query(spark, folder, SPARSE_LINES_SQL, ["embeddings"]).drop("label")
 
 
+def messy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and faulty sparse lines in turn, keyed by vec_id."""
+    return _query(spark, folder, MESSY_LINES_SQL, ["embeddings"])
+
+
+def gappy_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with NULL and NaN prices and their day as text."""
+    return _query(spark, folder, GAPPY_ORDERS_SQL, ["orders"])
+
+
 def feature_mapping(spark: SparkSession, folder: str) -> DataFrame:
     """Feature dictionary (feature_name, feature_number) of the features that occur; four names repeat."""
     numbers = (table(spark, folder, "embeddings")
