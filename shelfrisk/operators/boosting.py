@@ -84,6 +84,25 @@ def load_model(path: str) -> GBTClassificationModel:
     return GBTClassificationModel.load(path)
 
 
+def saved_nodes(spark: SparkSession, path: str, depth: int) -> DataFrame:
+    """(tree, node, n, mean, feature, cut) of a saved model; the root is node 1, the children of t are 2t and 2t + 1.
+
+    A model has a fixed number of nodes, whatever the data. Values up to the cut go to the left child.
+    """
+    raw = spark.read.parquet(f"{path}/data").selectExpr("treeID as tree", "nodeData.*")
+    nodes = raw.selectExpr("tree", "id", "leftChild", "rightChild", "cast(rawCount as long) as n", "prediction as mean",
+                           "case when leftChild >= 0 then split.featureIndex end as feature",
+                           "case when leftChild >= 0 then split.leftCategoriesOrThreshold[0] end as cut")
+    level = nodes.filter("id = 0").withColumn("node", F.lit(1).cast("long"))
+    levels = [level]
+    for _ in range(depth):
+        children = level.filter("leftChild >= 0").selectExpr(
+            "tree", "explode(array(struct(leftChild as id, node * 2 as node), struct(rightChild as id, node * 2 + 1 as node))) as child")
+        level = nodes.join(children.selectExpr("tree", "child.id", "child.node"), ["tree", "id"])
+        levels.append(level)
+    return reduce(DataFrame.unionByName, [x.select("tree", "node", "n", "mean", "feature", "cut") for x in levels])
+
+
 def score(df: DataFrame, model: GBTClassificationModel, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """`keep` and `predicted_risk_class` (0 or 1) for a frame of exactly the feature columns.
 

@@ -284,8 +284,55 @@ def _sales(final: str, *more: dict[str, str], upto: str | None = None) -> str:
     return _with(ctes, final)
 
 
-def _sparse(final: str) -> str:
-    return _with(SPARSE, final)
+def _sparse(final: str, *more: dict[str, str]) -> str:
+    ctes = SPARSE
+    for extra in more:
+        ctes = ctes | extra
+    return _with(ctes, final)
+
+
+def _round_ctes(tree: int, rows: str) -> dict[str, str]:
+    """One regression tree of depth 2 on `rows` (vec_id, r): a<tree>_<depth> places rows, b<tree>_<depth> splits nodes."""
+    ctes = {f"a{tree}_0": f"select vec_id, 1::bigint as node, r from ({rows})"}
+    for depth in (0, 1):
+        at, best = f"a{tree}_{depth}", f"b{tree}_{depth}"
+        ctes[best] = f"""
+select node, feature, cut, gain from (
+  select *, row_number() over (partition by node order by round(gain, 10) desc, feature, value) as place from (
+    select *, (value + next_value) / 2 as cut,
+      (left_s * left_s / left_n + (s - left_s) * (s - left_s) / nullif(n - left_n, 0) - s * s / n) as gain
+    from (
+      select *, sum(vn) over upto as left_n, sum(vs) over upto as left_s, lead(value) over w as next_value,
+        sum(vn) over (partition by node, feature) as n, sum(vs) over (partition by node, feature) as s
+      from (select node, feature, value, count(*) as vn, sum(r) as vs from {at} join cells using (vec_id) group by all)
+      window w as (partition by node, feature order by value),
+        upto as (partition by node, feature order by value rows unbounded preceding)))
+  where next_value is not null and round(gain, 10) > 0)
+where place = 1"""
+        ctes[f"a{tree}_{depth + 1}"] = f"""
+select a.vec_id, a.node * 2 + cast(c.value > b.cut as int) as node, a.r
+from {at} a join {best} b using (node) join cells c on c.vec_id = a.vec_id and c.feature = b.feature"""
+    ctes[f"placed{tree}"] = " union all ".join(f"select * from a{tree}_{d}" for d in range(3))
+    ctes[f"nodes{tree}"] = f"""
+select {tree - 1} as tree, p.node, n, mean, feature, cut, gain
+from (select node, count(*) as n, avg(r) as mean from placed{tree} group by node) p
+left join (select * from b{tree}_0 union all select * from b{tree}_1) b on p.node = b.node"""
+    ctes[f"said{tree}"] = f"""
+select vec_id, arg_max(mean, node) as mean from placed{tree} join nodes{tree} using (node) group by vec_id"""
+    return ctes
+
+
+def _boost_ctes() -> dict[str, str]:
+    """Two rounds: the first tree fits labels of -1 and 1, the second 4y / (1 + exp(2yF)); it counts a tenth."""
+    cells = {
+        "cells": f"""
+select l.vec_id, f.i as feature, coalesce(v.value, 0) as value
+from labels_ l cross join range(0, {N_FEATURES}) f(i) left join long v on v.vec_id = l.vec_id and v.feature_number = f.i""",
+        "signs": "select vec_id, 2.0::double * target - 1 as y from labels_",
+    }
+    return (cells | _round_ctes(1, "select vec_id, y as r from signs")
+            | _round_ctes(2, "select vec_id, 4 * y / (1 + exp(2 * y * mean)) as r from signs join said1 using (vec_id)")
+            | {"boosted": "select * from nodes1 union all select * from nodes2"})
 
 
 def _daily(place: int, temperature: str) -> str:
@@ -300,7 +347,7 @@ def _by_flag(rows: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    linear, tree, root = _linear_ctes(), _tree_ctes(30), _tree_ctes(1)
+    linear, tree, root, boost = _linear_ctes(), _tree_ctes(30), _tree_ctes(1), _boost_ctes()
     linear_scores = SCORES.format(model=LINEAR, models="linear_models", rows="linear_predicted")
     tree_scores = SCORES.format(model=TREE, models="roots", rows="tree_predicted")
     terms = "[" + ", ".join(f"'{TERM_NAMES[p]}'" for p in PREDICTORS) + "]"
@@ -390,6 +437,14 @@ from orders""",
   cast(cast(concat('0x', substr(md5(line), 1, 8)) as bigint) % 5 as int) as fold from labels_"""),
         "fold_precision_recall": _sparse(
             "select fold, round(precision, 4) as precision, round(recall, 4) as recall from fold_scores"),
+        "gbt_first_rounds": _sparse(
+            "select tree, node, n, round(mean, 6) as mean, cast(feature as int) as feature, round(cut, 6) as cut from boosted", boost),
+        "score_first_rounds": _sparse("""select vec_id, cast(a.mean + 0.1::double * b.mean > 0 as int) as predicted_risk_class
+from said1 a join said2 b using (vec_id)""", boost),
+        "importance_first_rounds": _sparse("""select feature_name as feature,
+  round(coalesce(sum(gain), 0.0) / (select sum(gain) from boosted), 6) as importance
+from names left join boosted on feature = feature_number group by feature_name
+order by importance desc, feature_name limit 20""", boost),
         "mean_precision_recall": _sparse(
             "select round(avg(precision), 4) as precision, round(avg(recall), 4) as recall from fold_scores"),
     }

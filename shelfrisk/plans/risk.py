@@ -137,25 +137,54 @@ def gbt_cv(spark: SparkSession, folder: str) -> DataFrame:
     return B.fold_scores(B.stored_rows(folded), "fold")
 
 
-def _final_model(spark: SparkSession, folder: str):
-    return B.fit(B.stored_rows(B.training_rows(_records(spark, folder), ["vec_id"], N)))
+def _final_model(spark: SparkSession, folder: str, **settings):
+    return B.fit(B.stored_rows(B.training_rows(_records(spark, folder), ["vec_id"], N)), **settings)
 
 
-def top_importances(spark: SparkSession, folder: str) -> DataFrame:
+def _ranked_features(spark: SparkSession, folder: str, **settings) -> DataFrame:
     names = H.new_names(H.unique_names(views.feature_mapping(spark, folder)), N)
-    model = _final_model(spark, folder)
+    model = _final_model(spark, folder, **settings)
     return B.top_importances(spark, model, [names.get(f"feature_{i}", f"feature_{i}") for i in range(N)])
 
 
-def score_batch(spark: SparkSession, folder: str) -> DataFrame:
+def _scored(spark: SparkSession, folder: str, **settings) -> DataFrame:
     """Train, save, load, check the input and score every record."""
     path = _scratch(spark, "model")
-    B.save_model(_final_model(spark, folder), path)
+    B.save_model(_final_model(spark, folder, **settings), path)
     named = labelled_features(spark, folder).drop("risk_score", "target")
     return B.score(named, B.load_model(path), named.columns[1:], keep=["vec_id"])
 
 
+def top_importances(spark: SparkSession, folder: str) -> DataFrame:
+    return _ranked_features(spark, folder)
+
+
+def score_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder)
+
+
+# The first rounds of boosting, small enough to be written out in SQL.
+FIRST_ROUNDS = {"maxIter": 2, "maxDepth": 2}
+
+
+def gbt_first_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the first two trees, read from the saved model."""
+    path = _scratch(spark, "model")
+    B.save_model(_final_model(spark, folder, **FIRST_ROUNDS), path)
+    nodes = B.saved_nodes(spark, path, FIRST_ROUNDS["maxDepth"])
+    return nodes.withColumns({"tree": F.col("tree").cast("int"), "mean": F.round("mean", 6), "cut": F.round("cut", 6)})
+
+
+def score_first_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, **FIRST_ROUNDS)
+
+
+def importance_first_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    return _ranked_features(spark, folder, **FIRST_ROUNDS).withColumn("importance", F.round("importance", 6))
+
+
 QUERIES = [sparse_long, sparse_wide, text_folder, rejected_lines, messy_rejects, messy_wide,
            filled_gaps, text_days, risk_label, unique_feature_names, labelled_features,
            labelled_long, flat_files, forced_columns, stratified_folds, hashed_folds, fold_precision_recall,
-           mean_precision_recall, gbt_cv, top_importances, score_batch]
+           mean_precision_recall, gbt_cv, top_importances, score_batch,
+           gbt_first_rounds, score_first_rounds, importance_first_rounds]
