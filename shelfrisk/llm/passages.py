@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-CHUNK = 1 << 20  # units hashed at once; longer documents are taken in overlapping pieces
+CHUNK = 1 << 18  # units hashed at once; longer documents are taken in overlapping pieces
 MOST_WINDOWS = 256  # of one passage; periodic text makes longer runs, which are split
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 START_BITS, RUN_BITS, FLAGS = 34, 9, 2  # the remaining 19 bits of a place hold the text mark
 SHIFT = START_BITS + RUN_BITS + FLAGS
 TWICE, GONE = 1, 2
+WANTED_BYTES = 2 << 20  # of texts whose wanted passages are listed as Python values at once
 HOT_PASSAGES = 2000  # an anchor with more different passages is compared window by window
 ROWS = "anchor long, body long, doc_id long, place long"
 _POWERS: dict[str, np.ndarray] = {}
@@ -127,6 +128,7 @@ def slices(table: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
     for a, b in zip(np.append(0, cuts), np.append(cuts, table.num_rows)):
         if b > a:
             yield table.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # idle workers hold nothing back from the next stage
 
 
 def with_mark(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -248,7 +250,7 @@ def passage_texts(keyed: DataFrame, contested: DataFrame, window: int, units, sp
 
     def take(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", WANTED_BYTES):
                 out, windows = ([], [], [], []), []
                 for doc, text, mark, want in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "mark", "wanted"))):
                     data = text.encode()
