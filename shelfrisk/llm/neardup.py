@@ -2,7 +2,7 @@
 
 Equal vectors are one node. The nodes of a label are dealt over shards of bounded size; each shard builds a
 hierarchical navigable small-world graph, and every node of the label queries every shard. Beams are widened until an
-audit against brute force finds nearly all links. Links are verified by cosine in double precision and united to
+audit against brute force finds nearly all links; where links are too rare to audit, brute force answers all. Links are verified by cosine in double precision and united to
 components. Within a component links are then counted exactly, block by block.
 """
 
@@ -22,7 +22,9 @@ QUERY_ROWS = 65_536  # queries that one copy of a graph answers
 BLOCK_ROWS = 1024  # nodes compared at once when links are counted
 LINKS = 12  # of a node on the upper layers; twice as many on the lowest
 BEAM = 48
-AUDIT = 64  # queries of a task that are also answered by brute force
+WIDEST = 384  # beyond this beam, brute force is cheaper
+AUDIT = 64  # queries of a block, at least, that are also answered by brute force
+SEEN = 200  # audited queries with links that recall is measured on
 RECALL = 0.99
 EXPAND = 4  # candidates whose neighbours are looked at in one step
 
@@ -169,37 +171,83 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+def merged(group: np.ndarray, rows: int, row: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of nodes, each named by its smallest, after `rows` queries have linked to nodes: query row[i] to node hit[i].
+    With them as few links as say the same: node a[i] to b[i], where numbers from len(group) on are queries."""
+    n = len(group)
+    pair = np.unique(row.astype(np.int64) * n + group[hit])
+    query, node = np.unique(pair // n), np.unique(pair % n)
+    label = roots(n + rows, pair // n + n, pair % n)
+    a = np.append(node[label[node] != node], query + n)
+    return label[group], a, label[a]
+
+
 def shard_links(ids: np.ndarray, vectors: np.ndarray, queries, threshold: float):
-    """Links (a, b) between the nodes of a shard and (ids, unit vectors) of query blocks."""
-    graph, beam, audited = Graph(vectors), BEAM, False
+    """Links (a, b) that join the nodes of a shard and (ids, unit vectors) of query blocks as all true links do.
+
+    A query whose beam is full of links may have more; it is answered by brute force. Of the others, some of every
+    block are audited, until SEEN with few links have been met or the block is exhausted, which makes it exact. The recall of
+    the last SEEN, a mean over queries, must reach RECALL, or the beam is widened. All links that brute force meets count.
+    """
+    graph, beam, n = Graph(vectors), BEAM, len(ids)
+    group = np.arange(n)  # nodes joined by the links of earlier blocks
+    few, many = [], []  # recall of queries audited at this beam: with up to BEAM links, with more
     for query_ids, q in queries:
+        m, own = len(q), _same(query_ids, ids)
+        named = np.append(ids, query_ids)
+        rest = np.random.default_rng(m).permutation(m)
         while True:
-            found, sims = graph.search(q, beam)
+            found, sims = graph.search(q, min(beam, WIDEST))
             row, column = np.nonzero((found >= 0) & (sims >= threshold - 1e-3))
             hit = found[row, column]
-            real = (np.einsum("ij,ij->i", q[row], vectors[hit]) >= threshold) & (query_ids[row] != ids[hit])
+            real = np.einsum("ij,ij->i", q[row], vectors[hit]) >= threshold
             row, hit = row[real], hit[real]
-            if audited or beam >= len(ids):
-                break
-            # Audit: which links of some queries, found by brute force, end up in one component?
-            some = np.unique(np.linspace(0, len(q) - 1, AUDIT).astype(int))
-            every = (q[some] @ vectors.T >= threshold) & (query_ids[some][:, None] != ids)
-            who, what = np.nonzero(every)
-            label = roots(len(q) + len(ids), np.append(row, np.arange(len(q))), np.append(hit + len(q), _same(query_ids, ids, len(q))))
-            if not len(who) or (label[some[who]] == label[what + len(q)]).mean() >= RECALL:
-                audited = True
+            other = query_ids[row] != ids[hit]
+            full = np.bincount(row, minlength=m) >= found.shape[1]
+            row, hit, here = row[other], hit[other], np.flatnonzero(own >= 0)
+            place = np.full(m, -1)  # a node that the query is joined to
+            place[row], place[here] = hit, own[here]
+            sure, a, b = merged(group, m, np.append(row, here), np.append(hit, own[here]))
+            links = [(named[a], named[b])]
+
+            def compared(some):
+                """Links of some queries by brute force; they are kept."""
+                nonlocal sure
+                who, what = np.nonzero((q[some] @ vectors.T >= threshold) & (query_ids[some][:, None] != ids))
+                mine = np.flatnonzero(own[some] >= 0)
+                sure, a, b = merged(sure, len(some), np.append(who, mine), np.append(what, own[some][mine]))
+                name = np.append(ids, query_ids[some])
+                links.append((name[a], name[b]))
+                return who, what
+
+            hot = np.flatnonzero(full)
+            for at in range(0, len(hot), AUDIT):
+                compared(hot[at:at + AUDIT])
+            reached, draw, drawn = sure, rest[~full[rest]], 0
+            while drawn < len(draw) and (not drawn or beam > WIDEST or len(few) < SEEN):
+                some = draw[drawn:drawn + AUDIT]
+                drawn += len(some)
+                who, what = compared(some)
+                held = (place[some[who]] >= 0) & (reached[place[some[who]]] == reached[what])
+                count = np.bincount(who, minlength=len(some))
+                recall = np.bincount(who, held, minlength=len(some)) / np.maximum(count, 1)
+                few += recall[(count > 0) & (count <= BEAM)].tolist()
+                many += recall[count > BEAM].tolist()
+            if drawn == len(draw) or all(np.mean(r[-SEEN:]) >= RECALL for r in (few, many) if r):
                 break
             beam *= 2
-        if len(row):
-            yield query_ids[row], ids[hit]
+            few, many = [], []
+        group = sure
+        a, b = (np.concatenate(side) for side in zip(*links))
+        if (a != b).any():
+            yield a[a != b], b[a != b]
 
 
-def _same(query_ids: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    """Number of the node that is the query itself, counted after the n queries; the query's own number if none is."""
+def _same(query_ids: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Number of the node that is the query itself, -1 if none is."""
     order = np.argsort(ids)
-    at = np.minimum(np.searchsorted(ids[order], query_ids), len(ids) - 1)
-    node = order[at]
-    return np.where(ids[node] == query_ids, node + n, np.arange(n))
+    node = order[np.minimum(np.searchsorted(ids[order], query_ids), len(ids) - 1)]
+    return np.where(ids[node] == query_ids, node, -1)
 
 
 def near_duplicates(table: DataFrame, threshold: float = 0.93) -> DataFrame:

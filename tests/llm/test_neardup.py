@@ -71,3 +71,69 @@ def test_missing_ids_and_empty_table(spark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in got if r.vec_id) == [(3, 2, 3, True), (3, 2, 3, True), (4, 2, 3, False)]
     assert [(r.n_links, r.component_id, r.kept) for r in got if not r.vec_id] == [(0, None, False)]
     assert neardup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def joined(ids, x, threshold=0.93):
+    """Smallest reachable id of each node by the links that shard_links gives, and by all true links."""
+    blocks = [(ids[at:at + 2048], x[at:at + 2048]) for at in range(0, len(ids), 2048)]
+    got = [(a, b) for block in neardup.shard_links(ids, x, blocks, threshold) for a, b in zip(*(side.tolist() for side in block))]
+    a, b = np.nonzero(np.triu(x @ x.T >= threshold, 1))
+    return smallest(ids.tolist(), got), smallest(ids.tolist(), zip(ids[a].tolist(), ids[b].tolist())), len(got)
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def sparse_beside_hot(hot, pairs=30, n=3000, width=64):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, width))
+    x[:hot] = rng.normal(size=width) + rng.normal(size=(hot, width)) * 0.1
+    twin = rng.permutation(np.arange(hot, n))[:2 * pairs]
+    x[twin[pairs:]] = x[twin[:pairs]] + rng.normal(size=(pairs, width)) * 0.1
+    order = rng.permutation(n)
+    return np.arange(n) * 3, unit(x[order])
+
+
+@pytest.mark.parametrize("hot", [0, 1000])
+@pytest.mark.parametrize("blind", [False, True])
+def test_sparse_links_are_not_passed_unseen(monkeypatch, hot, blind):
+    """A search that finds at most the hot group does not stand, however rare the other links are."""
+    ids, x = sparse_beside_hot(hot)
+    if blind:
+        search = neardup.Graph.search
+
+        def poor(self, q, beam):
+            found, sims = search(self, q, beam)
+            sparse = (sims > 0.93).sum(1) < 10
+            return np.where(sparse[:, None], -1, found), sims
+
+        monkeypatch.setattr(neardup.Graph, "search", poor)
+    got, expected, links = joined(ids, x)
+    assert got == expected and links <= 3 * len(ids)
+
+
+def test_later_blocks_are_audited(monkeypatch):
+    """Links are common, and the search fails from the second block on."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(1200, 64))
+    x = unit(np.stack([base, base + rng.normal(size=base.shape) * 0.1], axis=1).reshape(-1, 64))
+    ids, search, late = np.arange(2400), neardup.Graph.search, []
+
+    def poor(self, q, beam):
+        late.append(not np.array_equal(q[0], x[0]))
+        found, sims = search(self, q, beam)
+        return (np.full_like(found, -1) if late[-1] else found), sims
+
+    monkeypatch.setattr(neardup.Graph, "search", poor)
+    got, expected, _ = joined(ids, x)
+    assert np.mean([got[i] == expected[i] for i in got]) >= 0.99
+
+
+def test_dense_groups_joined_by_one_link():
+    rng = np.random.default_rng(7)
+    at = lambda degrees: [np.cos(np.radians(degrees)), np.sin(np.radians(degrees))] + [0] * 14
+    noise = rng.normal(size=(600, 16)) * 0.004
+    x = unit(np.concatenate([np.array([at(0)] * 300 + [at(31)] * 300) + noise, [at(5), at(26)]]))
+    got, expected, _ = joined(np.arange(602), x)
+    assert set(expected.values()) == {0} and got == expected
