@@ -45,3 +45,14 @@ def test_empty_documents_and_null_rows(spark, tmp_path):
         for _, stage in C.STAGES[1:]:
             docs = stage(spark, docs, str(tmp_path))
         assert {r.n_tokens for r in docs.collect()} == ({2} if rows else set())
+
+
+def test_near_copies_go_by_five_words(spark):
+    """Fifty words with one changed share 80.4 % of their five-word shingles and 84.3 % of their four-word shingles."""
+    text = [f"w{i}" for i in range(50)]
+    rows = [(1, " ".join(text), "en", "s", 1), (2, " ".join([*text[:25], "edited", *text[26:]]), "en", "s", 1), (3, "quite another text", "en", "s", 1)]
+    assert {d: least for d, (_, least) in test_jaccard.brute([r[:2] for r in rows], 4, 85).items()} == {1: 1, 2: 2, 3: 3}
+    classes = test_jaccard.brute([r[:2] for r in rows], 5, 80)
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{FOLDER}/documents.parquet").schema)
+    got = {r.doc_id for r in C.one_of_each_group(spark, docs, FOLDER).collect()}
+    assert got == {d for d, (_, least) in classes.items() if d == least} == {1, 3}
