@@ -2,8 +2,9 @@
 
 Every text node has a path of tags from the root. Per path, text length, punctuation and number of nodes are added up; a
 path with long, punctuated nodes is likely content. Both ratios are smoothed over the nodes in page order and fused,
-and paths above the threshold are content paths. The main part is the smallest element that holds nearly all of
-their weight; everything in it stays, but for elements that are never content.
+and paths above the threshold are content paths. The main part is the outermost declared one that holds nearly all of
+their weight, else the smallest element that holds all of it, with the title above it; everything in it stays, but for
+elements that are never content and small ones whose class or id tells that they are around an article.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ AROUND_ROLES = frozenset("banner navigation contentinfo complementary search for
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 SMOOTH = np.array([0.06, 0.24, 0.4, 0.24, 0.06])  # over neighbouring nodes
 THRESHOLD = 0.5  # of a standard deviation of the fused ratio
-HOLDS = 0.85  # share of the content weight that the main part must hold
+HOLDS = 0.85  # share of the content weight that a declared main part must hold
+WRAPS = 0.5  # share of the text from which an element is a wrapper, whatever its class says
 
 
 class Page(HTMLParser):
@@ -48,6 +50,8 @@ class Page(HTMLParser):
         self.made = self.block = 0
         self.nodes: list[tuple[str, tuple[int, ...], int, str, bool]] = []
         self.main: set[int] = set()
+        self.marked: set[int] = set()
+        self.titles: set[int] = set()
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
@@ -69,8 +73,11 @@ class Page(HTMLParser):
         marks = f"{given.get('class', '')} {given.get('id', '')}"
         out = (bool(self.stack) and self.stack[-1][2] or tag in NEVER or given.get("role", "").lower() in AROUND_ROLES
                or "hidden" in given or given.get("aria-hidden", "").lower() == "true"
-               or re.search(r"display\s*:\s*none", given.get("style", ""), re.I) is not None
-               or tag not in ("html", "body", "article", "main") and AROUND.search(marks) is not None)
+               or re.search(r"display\s*:\s*none", given.get("style", ""), re.I) is not None)
+        if tag not in ("html", "body", "article", "main") and AROUND.search(marks):
+            self.marked.add(self.made)
+        if tag == "h1":
+            self.titles.add(self.made)
         if tag in ("article", "main") or given.get("role", "").lower() in ("main", "article"):
             self.main.add(self.made)
         above = self.stack[-1][3] if self.stack else ""
@@ -122,12 +129,28 @@ def fused_ratios(nodes) -> np.ndarray:
     return np.sqrt(smooth[0] * smooth[1])
 
 
+def around(page: Page) -> set[int]:
+    """Marked elements that are out. One with much of the text is a wrapper whose class only tells what else the page has,
+    unless a declared main part lies outside of all marked elements."""
+    held, total, outside = dict.fromkeys(page.marked, 0), 0, 0
+    for _, chain, _, text, usable in page.nodes:
+        if usable:
+            size, marks = len(text.strip()), page.marked.intersection(chain)
+            total += size
+            for element in marks:
+                held[element] += size
+            if not marks and page.main.intersection(chain):
+                outside += size
+    return {e for e, size in held.items() if size < WRAPS * total or outside > (1 - HOLDS) * total}
+
+
 def main_text(html: str) -> str:
     """The blocks of the main part joined by line feeds."""
     page = Page()
     page.feed(html)
     page.close()
-    nodes = [n for n in page.nodes if n[4]]
+    out = around(page) if page.marked else set()
+    nodes = [n for n in page.nodes if n[4] and out.isdisjoint(n[1])]
     filled = [n for n in nodes if n[3].strip()]
     if not filled:
         return ""
@@ -143,17 +166,23 @@ def main_text(html: str) -> str:
             for element in node[1]:
                 weight[element] = weight.get(element, 0.0) + size
     # Elements are numbered in page order, so the innermost of nested ones has the highest number.
-    holding = [e for e, w in weight.items() if w >= HOLDS * total]
-    best = max(holding, default=None)
-    declared = [e for e in holding if e in page.main]
+    best = max((e for e, w in weight.items() if w >= total), default=None)
+    declared = [e for e, w in weight.items() if w >= HOLDS * total and e in page.main]
     if declared:
-        best = max(declared)
+        best = min(declared)
     elif best is not None:
         # An inline element or single paragraph is not the main part: take the element around the content blocks.
         blocks = {n[2] for n in filled if n[0] in paths and best in n[1]}
         chain = next(n[1] for n in filled if best in n[1])
         if len(blocks) == 1 and chain.index(best) > 0:
             best = chain[chain.index(best) - 1]
+        # The title may stand above the content, with a lead: the element that holds all of them, if it adds little.
+        size = lambda e: sum(len(n[3].strip()) for n in filled if e in n[1])
+        named = [n[1] for n in filled if not page.titles.isdisjoint(n[1])]
+        if not any(best in t for t in named):
+            higher = next((e for e in reversed(chain[:chain.index(best)]) if any(e in t for t in named)), None)
+            if higher is not None and size(best) >= HOLDS * size(higher):
+                best = higher
     out, last = [], None
     for _, chain, block, text, _ in nodes:
         if best is not None and best not in chain:

@@ -182,6 +182,24 @@ def test_main_text(page, expected):
     assert html.main_text(page) == expected
 
 
+@pytest.mark.parametrize("mark", ["content has-sidebar", "no-sidebar", "with-comments", "nav-open"])
+def test_class_of_a_wrapper_does_not_empty_the_page(mark):
+    page = f"<body><div class='{mark}'><div class=text><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div class=sidebar><p>{ARTICLE}</p></div></div></body>"
+    assert html.main_text(page) == f"{ARTICLE}\n{ARTICLE}"
+
+
+def test_long_comments_beside_a_declared_article_stay_out():
+    page = f"<body><article><p>{ARTICLE}</p></article><div class=comments>" + f"<p>{ARTICLE}</p>" * 3 + "</div></body>"
+    assert html.main_text(page) == ARTICLE
+
+
+def test_title_and_lead_above_the_body_stay():
+    body = f"<p>{ARTICLE}</p>" * 12
+    text = "\n".join([ARTICLE] * 12)
+    assert html.main_text(f"<body><div><h1>Title</h1><p>Lead, short.</p><div class=body>{body}</div></div></body>") == f"Title\nLead, short.\n{text}"
+    assert html.main_text(f"<body><main><p>Lead, short.</p><article>{body}</article></main></body>") == f"Lead, short.\n{text}"
+
+
 def test_pages(spark):
     rows = [(1, "u", "<article><p>x, y.</p></article>", 5), (1, "u", "<article><p>x, y.</p></article>", 5), (None, None, None, 5), (3, "u", "<" * 500 + "p>" + "a " * 100_000, 5)]
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
