@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +44,11 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _blocks(keyed: DataFrame, tasks: int, width: int) -> DataFrame:
-    """Rows (pivot, distance, vec_id, vector), sorted and packed: (block, pivot, low, high, ids, vectors, distances)."""
+    """Rows (pivot, distance, vec_id, vector), sorted and packed: (block, pivot, low, high, ids, vectors, distances).
+    Blocks are numbered by task and place in it; vec_id may repeat over many blocks."""
 
     def pack(batches):
+        made = TaskContext.get().partitionId() << 32
         for batch in batches:
             pivot, distance, ids = (batch.column(c).to_numpy() for c in ("pivot", "distance", "vec_id"))
             if not len(ids):
@@ -55,9 +58,10 @@ def _blocks(keyed: DataFrame, tasks: int, width: int) -> DataFrame:
             cut = np.flatnonzero(place % BLOCK_ROWS == 0)
             vectors = batch.column("vector").to_pylist()
             rows = []
-            for a, b in zip(cut, np.append(cut[1:], len(ids))):
-                rows.append((int(ids[a]), int(pivot[a]), float(distance[a]), float(distance[b - 1]), ids[a:b].tobytes(), b"".join(vectors[a:b]),
+            for block, (a, b) in enumerate(zip(cut, np.append(cut[1:], len(ids))), made):
+                rows.append((block, int(pivot[a]), float(distance[a]), float(distance[b - 1]), ids[a:b].tobytes(), b"".join(vectors[a:b]),
                              distance[a:b].tobytes()))
+            made += len(rows)
             yield pa.RecordBatch.from_pylist([dict(zip(("block", "pivot", "low", "high", "ids", "vectors", "distances"), r)) for r in rows], schema=schema)
 
     schema = pa.schema([("block", pa.int64()), ("pivot", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()),
@@ -70,7 +74,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     """query_id, rank, vec_id, score: for each vector of `queries` the k best of `vectors` but itself, all if fewer.
 
     Both have vec_id and embedding; components count as floor(scale * x). The score is the integer inner product;
-    ties go to the smaller vec_id, and repeated rows with one vec_id are candidates each. NULL vectors, empty ones
+    ties go to the smaller vec_id, and repeated rows with one vec_id are candidates each; equal rows of `queries` are one query. NULL vectors, empty ones
     and those with NULL or non-finite components take no part, nor do rows without vec_id. Vectors of
     different lengths are compared as if the shorter one ended in zeros. Other columns are ignored.
     """
@@ -112,7 +116,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
         return run
 
     schema = "pivot int, distance double, vec_id long, vector binary"
-    keyed, wanted = (materialise(t.mapInArrow(key(lift), schema)) for t, lift in ((data, True), (asked, False)))
+    keyed, wanted = (materialise(t.mapInArrow(key(lift), schema)) for t, lift in ((data, True), (asked.dropDuplicates(), False)))
     tasks = [max(1, -(-row_count(t) // (8 * BLOCK_ROWS))) for t in (keyed, wanted)]
     blocks = materialise(_blocks(keyed, tasks[0], width))
     asking = materialise(_blocks(wanted, tasks[1], width).select(F.col("block").alias("asking"), "pivot", "low", "high",

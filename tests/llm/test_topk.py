@@ -49,3 +49,19 @@ def test_large_components_and_empty_table(spark):
     got = topk.top_k(data, data.filter("vec_id = 20"), 2).collect()
     assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(21, 64 * 64 * (93 * 10**7 + 4 * 10**8)), (22, -64 * 64 * 900000000 - 64 * 64 * 20000)]
     assert topk.top_k(data.limit(0), data.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("repeated", [20, 21])
+def test_one_vec_id_over_many_blocks(spark, monkeypatch, repeated):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(repeated)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist(), 0) for i in range(300)]
+    known = [(i, np.floor(64 * np.array(v, dtype=np.float64)).astype(int)) for i, v, _ in rows]
+    known += [known[repeated]] * 5000
+    expected = []
+    for q, v in known[:300:20]:
+        best = sorted((-int(v @ w), i) for i, w in known if i != q)[:20]
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    data = spark.createDataFrame(rows + [rows[repeated]] * 5000, SCHEMA).repartition(4)
+    got = topk.top_k(data, data.filter("vec_id % 20 = 0")).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(expected)
