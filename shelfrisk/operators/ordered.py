@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrisk.session import BROADCAST_BYTES, TASK_ROWS, attach, broadcast_if_small, materialise, row_count
+from shelfrisk.session import BROADCAST_BYTES, TASK_ROWS, attach, broadcast_if_small, materialise, row_count, stored
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
@@ -112,3 +112,24 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     """Exact quantiles of `value` per group; missing values are ignored (see `value_counts`)."""
     counts = materialise(value_counts(df, keys, value, weight))
     return quantiles_of_counts(counts, keys, probs, task_rows)
+
+
+def placed(df: DataFrame, order: list[str | Column], name: str = "place", task_rows: int = TASK_ROWS // 4) -> DataFrame:
+    """Add every row's place in `order`, counted from 1; equal rows get neighbouring places in any order.
+
+    Rows are dealt over tasks by range and sorted there; what earlier tasks hold is added. No task sorts more than
+    its range: equal rows, however many, are dealt on by their number in the stored table.
+    """
+    table = stored(df)
+    tasks = max(1, -(-row_count(table) // task_rows))
+    tie = table.withColumn("__tie", F.monotonically_increasing_id())
+    ranged = tie.repartitionByRange(tasks, *order, "__tie").sortWithinPartitions(*order, "__tie").drop("__tie")
+    # The id's upper bits are the task, its lower 33 bits the place inside it; stored, so that it stays as it is.
+    numbered = materialise(ranged.withColumn("__spot", F.monotonically_increasing_id()))
+    task = F.shiftright("__spot", 33)
+    earlier = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    before = (numbered.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__rows"))
+              .select("__task", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")))
+    joined = numbered.withColumn("__task", task).join(F.broadcast(before), "__task")
+    place = F.col("__before") + F.col("__spot").bitwiseAND((1 << 33) - 1) + 1
+    return joined.withColumn(name, place).drop("__task", "__before", "__spot")
