@@ -14,12 +14,12 @@ import heapq
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrisk.llm.topk import inner
 from shelfrisk.llm.vectors import matrix, packed, usable
-from shelfrisk.session import broadcast_if_small, materialise, row_count, total_of
+from shelfrisk.session import BROADCAST_BYTES, broadcast_if_small, materialise, row_count, table_bytes, total_of
 
 CELL_ROWS = 256  # rows that a cell should hold, about
 MOST_WORDS = 1024  # codewords of a half; beyond that cells hold more rows
@@ -28,8 +28,13 @@ BLOCK_ROWS = 4096  # rows of a cell that are searched at once
 ASKING_ROWS = 512  # anchors that search together
 FIRST_ROWS = 4096  # rows that an anchor may visit in the first round
 GROWTH = 8  # times as many in each further round
+HELD_ROWS = 1 << 20  # candidates of an anchor block after which a task keeps only the best
 BLOCK = "block long, cell int, ids binary, labels binary, vectors binary"
-FOUND = "asking long, place int, anchor_id long, slot int, score long, vec_id long"
+FOUND = "asking long, place int, slot int, score long, vec_id long"
+# One row per anchor block. Packed: `wanted` has rows of place, slot, low, high and least, `found` and `positives` of place, slot,
+# score and vec_id; `visited` has a bit per cell.
+STATE = ("asking long, anchor_ids binary, anchor_labels binary, anchors binary, wanted binary, found binary, positives binary, visited binary, "
+         "cells array<int>")
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
 
@@ -128,21 +133,47 @@ def _clean(table: DataFrame) -> DataFrame:
                     F.col("embedding").cast("array<double>").alias("embedding")))
 
 
+def best_rows(found: np.ndarray, k: int) -> np.ndarray:
+    """The `k` best rows (place, slot, score, vec_id) of every place and slot, in order."""
+    found = found[np.lexsort((found[:, 3], -found[:, 2], found[:, 1], found[:, 0]))]
+    new = np.append(True, (np.diff(found[:, :2], axis=0) != 0).any(axis=1))[:len(found)]
+    spot = np.arange(len(found))
+    return found[spot - np.maximum.accumulate(np.where(new, spot, 0)) < k]
+
+
+def least_scores(wanted: np.ndarray, found: np.ndarray, k: int) -> np.ndarray:
+    """The wants with the least score that still counts: the last place's, once a window has all its places. `found` as `best_rows` gives it."""
+    wanted = wanted.copy()
+    if len(found) >= k:
+        last = found[k - 1:][(found[k - 1:, :2] == found[:len(found) - k + 1, :2]).all(axis=1)]
+        full = {(place, slot): score for place, slot, score, _ in last.tolist()}
+        wanted[:, 4] = [max(least, full.get((place, slot), least)) for place, slot, _, _, least in wanted.tolist()]
+    return wanted
+
+
+def unpack(data: bytes | None, width: int) -> np.ndarray:
+    return np.frombuffer(data or b"", dtype=np.int64).reshape(-1, width)
+
+
 class Search:
     """Packed rows and anchors, and the rounds that compare them."""
 
     def __init__(self, data: DataFrame, asked: DataFrame, scale: float):
         size, top = F.size("embedding"), F.array_max(F.transform("embedding", lambda v: F.abs(F.floor(v * F.lit(scale)).cast("double"))))
-        facts = data.unionByName(asked).agg(F.max(size).alias("width"), F.max(top).alias("top")).first()
+        sides = data.withColumn("asks", F.lit(0)).unionByName(asked.withColumn("asks", F.lit(1)))
+        facts = sides.agg(F.max(size).alias("width"), F.max(top).alias("top"), F.count_if(F.col("asks") == 0).alias("rows"),
+                          F.count_if(F.col("asks") == 1).alias("anchors")).first()
+        self.empty = not facts.rows or not facts.anchors
+        if self.empty:
+            return
         self.width = width = facts.width + facts.width % 2
         if facts.top**2 * width >= 2**62:
             raise ValueError("inner products do not fit 64 bits")
-        self.kind = next(t for t in ("int16", "int32", "int64") if facts.top <= np.iinfo(t).max)
-        words = int(min(MOST_WORDS, max(1, (data.count() / CELL_ROWS) ** 0.5)))
+        self.kind = kind = next(t for t in ("int16", "int32", "int64") if facts.top <= np.iinfo(t).max)
+        words = int(min(MOST_WORDS, max(1, (facts.rows / CELL_ROWS) ** 0.5)))
         sample = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_PER_WORD * words).select("embedding").toArrow().column(0)
         sample = np.floor(matrix(sample.combine_chunks(), width) * scale)
         books = tuple(codebook(part, words) for part in np.split(sample, 2, axis=1))
-        kind = self.kind
 
         def key(batches):
             for batch in batches:
@@ -161,101 +192,145 @@ class Search:
         asking = _blocks(wanted.select(*names), -(-row_count(wanted) // (8 * ASKING_ROWS)), False, ASKING_ROWS)
         self.asking = asking.select(F.col("block").alias("asking"), F.col("ids").alias("anchor_ids"), F.col("labels").alias("anchor_labels"),
                                     F.col("vectors").alias("anchors"))
-        vector_bytes = np.dtype(kind).itemsize * width + 16
-        self.small = row_count(wanted) * vector_bytes <= 64 << 20  # packed anchors that may be sent whole to every executor
         self.pairs = 0
 
-    def anchors(self) -> DataFrame:
-        return F.broadcast(self.asking) if self.small else self.asking
-
-    def best(self, wants: DataFrame, k: int, same: bool) -> DataFrame:
-        """The `k` best rows of each want (asking, place, slot, low, high) among those with the anchor's label, or
-        with others: asking, place, anchor_id, slot, rank, score, vec_id. Only scores of low to high count."""
-        found, visited, rows = None, None, FIRST_ROWS
-        slots = ["asking", "place", "slot"]
-        while True:
-            open_ = wants.withColumn("least", F.col("low"))
-            if found is not None:
-                last = found.filter(F.col("rank") == k).select(*slots, F.col("score").alias("last"))
-                open_ = wants.join(last, slots, "left").withColumn("least", F.greatest("low", F.coalesce("last", "low")))
-            # One row per anchor block: at most ASKING_ROWS anchors with their slots.
-            state = open_.groupBy("asking").agg(F.collect_list(F.struct("place", "slot", "least", "high")).alias("wants"))
-            asked = self.asking.select("asking", "anchors").join(state, "asking")
-            asked = asked.withColumn("visited", F.lit(None).cast("binary")) if visited is None else asked.join(visited, "asking")
-            plan = materialise(asked.mapInArrow(self._plan(rows), "asking long, cells array<int>, visited binary, wanted binary"),
-                               cells=F.sum(F.size("cells")))
-            if not total_of(plan, "cells"):
-                return found
-            self.pairs += total_of(plan, "cells")
-            visited = plan.select("asking", "visited")
-            pairs = plan.select("asking", F.explode("cells").alias("cell"))
-            bound = plan.select("asking", "wanted")
-            joined = (self.blocks.join(broadcast_if_small(pairs, rows=total_of(plan, "cells")), "cell")
-                      .join(self.anchors(), "asking").join(F.broadcast(bound) if self.small else bound, "asking"))
-            more = joined.mapInArrow(self._score(k, same), FOUND)
-            if found is not None:
-                more = more.unionByName(found.drop("rank"))
-            order = Window.partitionBy(*slots).orderBy(F.desc("score"), "vec_id")
-            found = materialise(more.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
+    def best(self, start: DataFrame, windows, k: int, same: bool) -> DataFrame:
+        """STATE rows whose `found` has the `k` best rows of each want among those with the anchor's label, or with others.
+
+        `windows(row)` gives the wants of a row of `start`: (place, slot, low, high), whose scores lie between low and high. A
+        round is one job: cells that are due meet their anchor blocks, and each block's candidates its state, which says what
+        is due next.
+        """
+        rows = FIRST_ROWS
+        state = materialise(start.mapInArrow(self._first(windows, rows), STATE), cells=F.sum(F.size("cells")))
+        while total_of(state, "cells"):
+            self.pairs += total_of(state, "cells")
+            pairs = state.select("asking", F.explode("cells").alias("cell"))
+            asking = state.select("asking", "anchor_ids", "anchor_labels", "anchors", "wanted")
+            joined = (self.blocks.join(broadcast_if_small(pairs, rows=total_of(state, "cells")), "cell")
+                      .join(F.broadcast(asking) if table_bytes(state) <= BROADCAST_BYTES else asking, "asking"))
+            scored = joined.mapInArrow(self._score(k, same), FOUND)
             rows *= GROWTH
+            both = state.drop("cells").withColumn("kind", F.lit(0)).unionByName(scored.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+            state = materialise(both.repartition("asking").sortWithinPartitions("asking", "kind").mapInArrow(self._merged(k, rows), STATE),
+                                cells=F.sum(F.size("cells")))
+        return state
+
+    def _due(self, row: dict, rows: int) -> pa.RecordBatch:
+        """The row with the cells that its anchors visit next, also marked as visited."""
+        index = self.index.value
+        cells = index.rows.size
+        anchors = np.frombuffer(row["anchors"], dtype=self.kind).reshape(-1, self.width).astype(np.float64)
+        wanted = unpack(row["wanted"], 5)
+        seen = (np.zeros(cells, dtype=bool) if row["visited"] is None
+                else np.unpackbits(np.frombuffer(row["visited"], dtype=np.uint8), count=cells).astype(bool))
+        due = np.zeros(cells, dtype=bool)
+        for place in np.unique(wanted[:, 0]):
+            own = wanted[wanted[:, 0] == place]
+            due[list(index.visits(anchors[place], int(own[:, 4].min()), int(own[:, 3].max()), rows))] = True
+        due &= ~seen
+        row = row | {"visited": np.packbits(seen | due).tobytes(), "cells": np.flatnonzero(due).tolist()}
+        return pa.RecordBatch.from_pylist([{f.name: row[f.name] for f in STATE_FIELDS}], schema=STATE_FIELDS)
+
+    def _first(self, windows, rows: int):
+        due = _Later(self).due
 
-    def _plan(self, rows: int):
-        """Cells that an anchor block visits next. `visited` has a bit per cell."""
-        index, kind, width = self.index, self.kind, self.width
+        def run(batches):
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    wants, positives = windows(row)
+                    # The least score that counts is the window's lower end, until the window has all its places.
+                    yield due(row | {"wanted": np.column_stack([wants, wants[:, 2]]).tobytes(), "found": b"", "positives": positives, "visited": None}, rows)
+
+        return run
+
+    def _merged(self, k: int, rows: int):
+        """Candidates of an anchor block join its state, then it says which cells are due. Rows arrive sorted by block, its state first."""
+        due = _Later(self).due
+
+        def finished(row, found):
+            found = best_rows(np.concatenate(found), k)
+            wanted = least_scores(unpack(row["wanted"], 5), found, k)
+            return due(row | {"found": found.tobytes(), "wanted": wanted.tobytes()}, rows)
 
         def run(batches):
-            cells = index.value.rows.size
+            row, found, held = None, [], 0
             for batch in batches:
-                for row in batch.to_pylist():
-                    anchors = np.frombuffer(row["anchors"], dtype=kind).reshape(-1, width).astype(np.float64)
-                    wanted = np.array([(w["place"], w["slot"], w["least"], w["high"]) for w in row["wants"]], dtype=np.int64)
-                    seen = (np.zeros(cells, dtype=bool) if row["visited"] is None
-                            else np.unpackbits(np.frombuffer(row["visited"], dtype=np.uint8), count=cells).astype(bool))
-                    chosen = np.zeros(cells, dtype=bool)
-                    for place in np.unique(wanted[:, 0]):
-                        own = wanted[wanted[:, 0] == place]
-                        chosen[list(index.value.visits(anchors[place], int(own[:, 2].min()), int(own[:, 3].max()), rows))] = True
-                    chosen &= ~seen
-                    yield pa.RecordBatch.from_pylist(
-                        [{"asking": row["asking"], "cells": np.flatnonzero(chosen).tolist(), "visited": np.packbits(seen | chosen).tobytes(),
-                          "wanted": wanted.tobytes()}], schema=schema)
-
-        schema = pa.schema([("asking", pa.int64()), ("cells", pa.list_(pa.int32())), ("visited", pa.binary()), ("wanted", pa.binary())])
+                if not batch.num_rows:
+                    continue
+                asking, kind = batch.column("asking").to_numpy(), batch.column("kind").to_numpy()
+                cut = np.flatnonzero(np.append(True, (asking[1:] != asking[:-1]) | (kind[1:] != kind[:-1])))
+                for a, b in zip(cut, np.append(cut[1:], len(asking))):
+                    part = batch.slice(a, b - a)
+                    if kind[a] == 0:
+                        if row is not None:
+                            yield finished(row, found)
+                        row = part.to_pylist()[0]
+                        found = [unpack(row["found"], 4)]
+                        continue
+                    found.append(np.column_stack([part.column(c).to_numpy().astype(np.int64) for c in ("place", "slot", "score", "vec_id")]))
+                    held += b - a
+                    if held >= HELD_ROWS:
+                        found, held = [best_rows(np.concatenate(found), k)], 0
+            if row is not None:
+                yield finished(row, found)
+
         return run
 
     def _score(self, k: int, same: bool):
-        """The k best rows of one block for every slot of one anchor block."""
+        """The best rows that a task's blocks hold for every slot of the anchor blocks they meet. What one block has shown
+        raises the least score for the next, and a task emits the best of all its blocks, not of each."""
         kind, width = self.kind, self.width
 
+        def emitted(held):
+            for asking, (_, found) in held.items():
+                if len(found):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(found), asking)), pa.array(found[:, 0].astype(np.int32)), pa.array(found[:, 1].astype(np.int32)),
+                         pa.array(found[:, 2].copy()), pa.array(found[:, 3].copy())], names=["asking", "place", "slot", "score", "vec_id"])
+
         def run(batches):
+            held, rows = {}, 0
             for batch in batches:
                 for at in range(batch.num_rows):
                     row = batch.slice(at, 1).to_pylist()[0]
                     ids, labels, anchor_ids, anchor_labels = (np.frombuffer(row[c], dtype=np.int64) for c in
                                                               ("ids", "labels", "anchor_ids", "anchor_labels"))
                     x, a = (np.frombuffer(row[c], dtype=kind).reshape(-1, width) for c in ("vectors", "anchors"))
-                    wanted = np.frombuffer(row["wanted"], dtype=np.int64).reshape(-1, 4)
                     fits = ((anchor_labels[:, None] == labels) == same) & (anchor_ids[:, None] != ids)
                     scores = np.where(fits, inner(a, x), LOWEST - 1)
+                    wanted, found = held.get(row["asking"]) or (unpack(row["wanted"], 5), np.zeros((0, 4), dtype=np.int64))
+                    more = [found]
                     for slot in np.unique(wanted[:, 1]):
                         own = wanted[wanted[:, 1] == slot]
                         part = scores[own[:, 0]]
-                        who, what = np.nonzero((part >= own[:, 2:3]) & (part <= own[:, 3:4]))
-                        score = part[who, what]
-                        order = np.lexsort((ids[what], -score, who))
-                        who, what, score = who[order], what[order], score[order]
-                        first = np.append(True, who[1:] != who[:-1]) if len(who) else np.zeros(0, dtype=bool)
-                        spot = np.arange(len(who))
-                        keep = spot - np.maximum.accumulate(np.where(first, spot, 0)) < k
-                        place = own[who[keep], 0]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(place), row["asking"])), pa.array(place.astype(np.int32)), pa.array(anchor_ids[place]),
-                             pa.array(np.full(len(place), slot, dtype=np.int32)), pa.array(score[keep]), pa.array(ids[what[keep]])],
-                            names=["asking", "place", "anchor_id", "slot", "score", "vec_id"])
+                        who, what = np.nonzero((part >= own[:, 4:5]) & (part <= own[:, 3:4]))
+                        more.append(np.column_stack([own[who, 0], np.full(len(who), slot), part[who, what], ids[what]]))
+                    best = best_rows(np.concatenate(more), k)
+                    held[row["asking"]] = least_scores(wanted, best, k), best
+                    rows += len(best) - len(found)
+                    if rows >= HELD_ROWS:
+                        yield from emitted(held)
+                        held, rows = {}, 0
+            yield from emitted(held)
 
         return run
 
 
+class _Later:
+    """What tasks need of a search: its tables stay on the driver."""
+
+    def __init__(self, search: Search):
+        self.index, self.kind, self.width = search.index, search.kind, search.width
+
+    due = Search._due
+
+
+STATE_FIELDS = pa.schema([(n, pa.int64() if t == "long" else pa.list_(pa.int32()) if t.startswith("array") else pa.binary())
+                          for n, t in (f.split() for f in STATE.split(", "))])
+
+
 def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int = 10, scale: float = 256.0, low: int = 30,
          high: int = 90) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
@@ -268,21 +343,38 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
     one vec_id with several vectors or labels is as many rows. Vectors of different lengths are compared as if the shorter one
     ended in zeros. Other columns are ignored.
     """
-    data, asked = _clean(vectors), _clean(anchors)
-    if data.isEmpty() or asked.isEmpty():
-        return vectors.sparkSession.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-    search = Search(data, asked, scale)
-    everyone = search.asking.select("asking", F.expr("explode(sequence(0, cast(octet_length(anchor_ids) div 8 as int) - 1)) as place"))
-    wants = everyone.select("asking", "place", F.lit(0).alias("slot"), F.lit(LOWEST).alias("low"), F.lit(HIGHEST).alias("high"))
-    near = search.best(wants, positives, True)
-    if near is None:
-        return mine(vectors.limit(0), anchors, positives, negatives, scale, low, high)
-    # Whole scores of at least low and at most high per cent: rounded up and down, also below zero.
-    wants = materialise(near.selectExpr("asking", "place", "rank as slot", f"-((-{low} * score - pmod(-{low} * score, 100)) div 100) as low",
-                                        f"({high} * score - pmod({high} * score, 100)) div 100 as high").filter("low <= high"))
-    hard = search.best(wants, negatives, False)
-    if hard is None:
-        return mine(vectors.limit(0), anchors, positives, negatives, scale, low, high)
-    chosen = near.select("asking", "place", F.col("rank").alias("slot"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
-    return (hard.join(chosen, ["asking", "place", "slot"])
-            .select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")))
+    search = Search(_clean(vectors), _clean(anchors), scale)
+    columns = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
+    if search.empty:
+        return vectors.sparkSession.createDataFrame([], columns)
+
+    def everything(row):
+        place = np.arange(len(row["anchor_ids"]) // 8)
+        return np.column_stack([place, np.zeros_like(place), np.full_like(place, LOWEST), np.full_like(place, HIGHEST)]), b""
+
+    def shares(row):
+        """Slots are an anchor's positives in order; whole scores of at least `low` and at most `high` per cent count."""
+        near = unpack(row["found"], 4).copy()
+        new = np.append(True, np.diff(near[:, 0]) != 0)[:len(near)]
+        spot = np.arange(len(near))
+        near[:, 1] = spot - np.maximum.accumulate(np.where(new, spot, 0))
+        wants = np.column_stack([near[:, :2], -(-low * near[:, 2] // 100), high * near[:, 2] // 100])
+        return wants[wants[:, 2] <= wants[:, 3]], near.tobytes()
+
+    def pairs(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                near, hard, ids = unpack(row["positives"], 4), unpack(row["found"], 4), np.frombuffer(row["anchor_ids"], dtype=np.int64)
+                known = {(place, slot): (score, vec_id) for place, slot, score, vec_id in near.tolist()}
+                out, key, rank = [], None, 0
+                for place, slot, score, vec_id in hard.tolist():
+                    rank = rank + 1 if key == (place, slot) else 1
+                    key = place, slot
+                    out.append((int(ids[place]), known[key][1], rank, vec_id, known[key][0], score))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(zip(*out))],
+                                                     names=[c.split()[0] for c in columns.split(", ")])
+
+    near = search.best(search.asking, everything, positives, True)
+    return search.best(near, shares, negatives, False).mapInArrow(pairs, columns)
