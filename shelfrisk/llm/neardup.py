@@ -256,7 +256,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     Rows link if their labels are equal and not NULL and the cosine of their embeddings, in double precision, is at
     least `threshold`. Vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing;
     vectors of different lengths are compared as if the shorter one ended in zeros. component_id is the smallest
-    vec_id that links reach. Repeated rows link like any others; a row without vec_id links with nothing and is
+    vec_id that links reach. Repeated rows link like any others, also rows with one vec_id and several vectors or labels; a row without vec_id links with nothing and is
     not kept. Links between different vectors are found by approximate search: what an audit
     of each task leaves open may be missed. Other columns are ignored.
     """
@@ -264,13 +264,14 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     whole = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable("embedding")
     fit = whole & F.exists("embedding", lambda v: v != 0)
     flagged = rows.withColumn("fit", F.coalesce(fit, F.lit(False))).withColumn("mark", F.when(F.col("fit"), F.xxhash64("label", "embedding")))
-    nodes = (flagged.filter("fit").groupBy("label", "mark", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
-    nodes = materialise(nodes)
+    # A node is a different vector of a label; its number is stored, as one vec_id may have several vectors and labels.
+    nodes = flagged.filter("fit").groupBy("label", "mark", "embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()))
     width = nodes.agg(F.max(F.size("embedding"))).first()[0] or 1
 
     sizes = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.select("label", F.ceil(F.col("rows") / SHARD_ROWS).cast("int").alias("shards"), F.ceil(F.col("rows") / QUERY_ROWS).cast("int").alias("salts"))
-    placed = nodes.join(sizes, "label").withColumn("h", F.xxhash64("node"))
+    placed = nodes.join(sizes, "label").withColumn("h", F.xxhash64("mark", F.lit(1)))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     index = placed.select("label", F.pmod("h", "shards").cast("int").alias("shard"), every("salts").alias("salt"), F.lit(0).alias("asks"), "node", "embedding", "h")
     asks = placed.select("label", every("shards").alias("shard"), F.pmod(F.shiftright("h", 20), "salts").cast("int").alias("salt"), F.lit(1).alias("asks"), "node", "embedding", "h")
@@ -339,9 +340,11 @@ def near_duplicates(table: DataFrame, threshold: float = 0.93) -> DataFrame:
 
     others = (left.join(right, "component").select("left", "right").mapInArrow(count, "node long, others long")
               .groupBy("node").agg(F.sum("others").alias("others")))
-    named = (nodes.select("label", "mark", "embedding", "node", "copies").join(others, "node", "left").join(classes, "node", "left")
-             .select(F.col("mark").alias("own_mark"), F.col("label").alias("own_label"), F.col("embedding").alias("own"), "node",
-                     (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), "component"))
+    smallest = nodes.select("node", "least").join(classes, "node").groupBy("component").agg(F.min("least").alias("smallest"))
+    smallest = classes.join(smallest, "component").select("node", "smallest")
+    named = (nodes.join(others, "node", "left").join(smallest, "node", "left")
+             .select(F.col("mark").alias("own_mark"), F.col("label").alias("own_label"), F.col("embedding").alias("own"),
+                     (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("smallest", "least").alias("component")))
     return (flagged.join(named, (F.col("mark") == F.col("own_mark")) & (F.col("label") == F.col("own_label")) & (F.col("embedding") == F.col("own")), "left")
-            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "node", "vec_id").alias("component_id"))
+            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))

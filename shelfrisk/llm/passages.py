@@ -15,16 +15,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfrisk.session import broadcast_if_small, materialise, row_count
+
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 CHUNK = 1 << 18  # units hashed at once; longer documents are taken in overlapping pieces
 MOST_WINDOWS = 256  # of one passage; periodic text makes longer runs, which are split
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-START_BITS, RUN_BITS, FLAGS = 34, 9, 2  # the remaining 19 bits of a place hold the text mark
+START_BITS, RUN_BITS, FLAGS = 34, 9, 2  # the remaining bits of a place hold the text's size, see `with_mark`
+SIZE_BITS = 18
 SHIFT = START_BITS + RUN_BITS + FLAGS
 TWICE, GONE = 1, 2
 WANTED_BYTES = 2 << 20  # of texts whose wanted passages are listed as Python values at once
 HOT_PASSAGES = 2000  # an anchor with more different passages is compared window by window
-ROWS = "anchor long, body long, doc_id long, place long"
+ROWS = "anchor long, body long, doc_id long, mark long, place long"
+TEXT = ["doc_id", "mark", "size"]  # what names a text
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -107,14 +111,14 @@ def passages(units: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.nda
         yield anchor, span_hash(sums, cut, ends - 1 + window), cut + at, ends - cut, left != right
 
 
-def pack(mark, first: np.ndarray, count: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """One long that sorts by text mark and first unit."""
-    return ((np.int64(mark) << SHIFT) | (first.astype(np.int64) << (RUN_BITS + FLAGS))
+def pack(size, first: np.ndarray, count: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """One long that sorts by first unit inside a text."""
+    return ((np.int64(size) << SHIFT) | (first.astype(np.int64) << (RUN_BITS + FLAGS))
             | (count.astype(np.int64) << FLAGS) | flags.astype(np.int64))
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, ...]:
-    """mark, first unit, windows, flags."""
+    """size, first unit, windows, flags."""
     return (place >> SHIFT, (place >> (RUN_BITS + FLAGS)) & ((1 << START_BITS) - 1),
             (place >> FLAGS) & ((1 << RUN_BITS) - 1), place & ((1 << FLAGS) - 1))
 
@@ -132,26 +136,33 @@ def slices(table: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
 
 
 def with_mark(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """doc_id, text, a mark that tells apart different texts under one repeated doc_id, and `carried` columns."""
+    """doc_id, text, mark, size and `carried` columns. Where different texts share a doc_id, `mark` (64 bits of hash) and
+    `size` (18 bits of the length) tell them apart; elsewhere both are 0. Texts are ordered by doc_id, then mark and size."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.shiftrightunsigned(F.xxhash64(text), 64 - 18).cast("int").alias("mark"),
-                       *([F.struct(*carry).alias("carried")] if carry else []))
-
-
-def settle(key: np.ndarray, doc: np.ndarray, place: np.ndarray, whole_docs: bool) -> np.ndarray:
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *([F.struct(*carry).alias("carried")] if carry else []))
+    digest = F.struct(F.xxhash64("text").alias("mark"), F.octet_length("text").bitwiseAND((1 << SIZE_BITS) - 1).alias("size"))
+    shared = materialise(named.filter("doc_id is not null").groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+                         .filter("low != high").select("doc_id"))
+    if not row_count(shared):
+        return named.withColumns({"mark": F.lit(0).cast("long"), "size": F.lit(0)})
+    told = named.join(broadcast_if_small(shared.withColumn("shared", F.lit(True))), "doc_id", "left")
+    return told.withColumns({"mark": F.when(F.col("shared"), digest["mark"]).otherwise(F.lit(0)),
+                             "size": F.when(F.col("shared"), digest["size"]).otherwise(F.lit(0))}).drop("shared")
+
+
+def settle(key: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray, whole_docs: bool) -> np.ndarray:
     """Which rows repeat an earlier row of the same key; with `whole_docs`, of a smaller document only."""
-    order = np.lexsort((place, doc, key))
-    k, d = key[order], doc[order]
+    order = np.lexsort((place, mark, doc, key))
+    k, d, m, p = key[order], doc[order], mark[order], place[order]
     fresh = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, dtype=bool)
     owner = np.maximum.accumulate(np.where(fresh, np.arange(len(k)), 0))
     repeat = np.empty(len(k), dtype=bool)
-    repeat[order] = (d != d[owner]) | (not whole_docs) & (place[order] != place[order][owner])
+    repeat[order] = (d != d[owner]) | (not whole_docs) & ((m != m[owner]) | (p != p[owner]))
     return repeat
 
 
 def passage_rows(keyed: DataFrame, window: int, gram: int, units, whole_docs: bool) -> DataFrame:
-    """(anchor, body hash, doc_id, place) of every passage.
+    """ROWS of every passage; `body` is its hash.
 
     Repeats inside one slice of the input are settled at once and flagged GONE under a scattered anchor, so
     that a passage which a third of all documents hold does not send a third of them to one task.
@@ -161,19 +172,19 @@ def passage_rows(keyed: DataFrame, window: int, gram: int, units, whole_docs: bo
         for batch in batches:
             for part in slices(batch, "text"):
                 found = []
-                for doc, text, mark in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "mark"))):
+                for doc, text, mark, size in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "mark", "size"))):
                     for anchor, body, first, count, twice in passages(units(text.encode()), window, gram):
-                        found.append((anchor, body, np.full(len(first), doc), pack(mark, first, count, twice)))
+                        found.append((anchor, body, np.full(len(first), doc), np.full(len(first), mark), pack(size, first, count, twice)))
                 if not found:
                     continue
-                anchor, body, doc, place = (np.concatenate(c).view(np.int64) for c in zip(*found))
-                gone = settle(mix((anchor ^ (body * 3)).view(np.uint64)), doc, place, whole_docs)
+                anchor, body, doc, mark, place = (np.concatenate(c).view(np.int64) for c in zip(*found))
+                gone = settle(mix((anchor ^ (body * 3)).view(np.uint64)), doc, mark, place, whole_docs)
                 place = place | np.where(gone, GONE, 0)
-                anchor = np.where(gone, mix((place ^ doc).view(np.uint64)).view(np.int64), anchor)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, body, doc, place)],
-                                                 names=["anchor", "body", "doc_id", "place"])
+                anchor = np.where(gone, mix((place ^ doc ^ mark).view(np.uint64)).view(np.int64), anchor)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, body, doc, mark, place)],
+                                                 names=["anchor", "body", "doc_id", "mark", "place"])
 
-    return keyed.filter("doc_id is not null").select("doc_id", "text", "mark").mapInArrow(cut, ROWS)
+    return keyed.filter("doc_id is not null").select("doc_id", "text", "mark", "size").mapInArrow(cut, ROWS)
 
 
 def classify(rows: DataFrame, whole_docs: bool) -> DataFrame:
@@ -183,18 +194,18 @@ def classify(rows: DataFrame, whole_docs: bool) -> DataFrame:
 
     def read(batches):
         last = body_at = None
-        owner = (0, 0)
+        owner = (0, 0, 0)
         bodies, pending = 0, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            anchor, body, doc, place = (batch.column(c).to_numpy() for c in ("anchor", "body", "doc_id", "place"))
+            anchor, body, doc, mark, place = (batch.column(c).to_numpy() for c in ("anchor", "body", "doc_id", "mark", "place"))
             goes_on = anchor[0] == last
             new = np.append(not goes_on, anchor[1:] != anchor[:-1])
             fresh = new | np.append(not goes_on or body[0] != body_at, body[1:] != body[:-1])
             at = np.maximum.accumulate(np.where(fresh, np.arange(len(body)), -1))
-            owners, held = np.where(at < 0, owner[0], doc[at]), np.where(at < 0, owner[1], place[at])
-            repeat = (doc != owners) | (not whole_docs) & (place != held)
+            owners, marks, held = (np.where(at < 0, o, c[at]) for o, c in zip(owner, (doc, mark, place)))
+            repeat = (doc != owners) | (not whole_docs) & ((mark != marks) | (place != held))
             run = np.cumsum(new) - (0 if goes_on else 1)
             settled = (place & GONE) > 0
             seen = np.bincount(run, weights=fresh & ~settled).astype(np.int64)
@@ -207,15 +218,15 @@ def classify(rows: DataFrame, whole_docs: bool) -> DataFrame:
             if not goes_on or seen[0] > 1 or len(seen) > 1:
                 pending = []
             place = place | np.where(repeat, GONE, 0)
-            out = pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, doc, place)], names=["anchor", "doc_id", "place"])
+            out = pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, doc, mark, place)], names=["anchor", "doc_id", "mark", "place"])
             keep = (place & GONE > 0) | (seen[run] > 1)
             yield out.filter(pa.array(keep))
             if seen[-1] < 2:
                 pending.append(out.filter(pa.array((run == run[-1]) & ~keep)))
-            last, body_at, owner, bodies = anchor[-1], body[-1], (owners[-1], held[-1]), seen[-1]
+            last, body_at, owner, bodies = anchor[-1], body[-1], (owners[-1], marks[-1], held[-1]), seen[-1]
 
-    return (rows.repartition("anchor").sortWithinPartitions("anchor", "body", "doc_id", "place")
-            .mapInArrow(read, "anchor long, doc_id long, place long"))
+    return (rows.repartition("anchor").sortWithinPartitions("anchor", "body", "doc_id", "mark", "place")
+            .mapInArrow(read, "anchor long, doc_id long, mark long, place long"))
 
 
 def in_groups(batches, key: str, most: int) -> Iterator[pa.Table]:
@@ -237,7 +248,7 @@ def in_groups(batches, key: str, most: int) -> Iterator[pa.Table]:
 
 
 def passage_texts(keyed: DataFrame, contested: DataFrame, window: int, units, spans, whole_docs: bool) -> DataFrame:
-    """(anchor, doc_id, place, body) with the bytes of each contested passage.
+    """(anchor, doc_id, mark, place, body) with the bytes of each contested passage.
 
     `spans(data, first, last)` gives the byte ranges of units first to last of a document. Passages of an anchor
     with too many of them are sent window by window under the window's hash; repeats inside one slice come
@@ -245,53 +256,53 @@ def passage_texts(keyed: DataFrame, contested: DataFrame, window: int, units, sp
     """
     hot = contested.groupBy("anchor").count().filter(F.col("count") > HOT_PASSAGES).select("anchor", F.lit(True).alias("hot"))
     listed = (contested.join(hot, "anchor", "left")
-              .withColumn("mark", F.shiftrightunsigned("place", SHIFT).cast("int"))
-              .groupBy("doc_id", "mark").agg(F.collect_set(F.struct("anchor", "place", "hot")).alias("wanted")))
+              .withColumn("size", F.shiftrightunsigned("place", SHIFT).cast("int"))
+              .groupBy(*TEXT).agg(F.collect_set(F.struct("anchor", "place", "hot")).alias("wanted")))
 
     def take(batches):
         for batch in batches:
             for part in slices(batch, "text", WANTED_BYTES):
-                out, windows = ([], [], [], []), []
-                for doc, text, mark, want in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "mark", "wanted"))):
+                out, windows = ([], [], [], [], []), []
+                for doc, text, mark, size, want in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "mark", "size", "wanted"))):
                     data = text.encode()
                     place = np.array([w["place"] for w in want if not w["hot"]], dtype=np.int64)
                     _, first, count, _ = unpack(place)
                     begin, end = spans(data, first, first + count + window - 1)
                     out[0].extend(w["anchor"] for w in want if not w["hot"])
                     out[1].extend([doc] * len(place))
-                    out[2].extend(place.tolist())
-                    out[3].extend(data[a:b] for a, b in zip(begin.tolist(), end.tolist()))
+                    out[2].extend([mark] * len(place))
+                    out[3].extend(place.tolist())
+                    out[4].extend(data[a:b] for a, b in zip(begin.tolist(), end.tolist()))
                     place = np.array([w["place"] for w in want if w["hot"]], dtype=np.int64)
                     if len(place):
                         _, first, count, _ = unpack(place)
                         at = np.concatenate([np.arange(a, a + c) for a, c in zip(first, count)])
                         begin, end = spans(data, at, at + window)
                         key = span_hash(prefix_sums(units(data)), at, at + window).view(np.int64)
-                        windows.append((key, np.full(len(at), doc), pack(mark, at, np.ones_like(at), np.zeros_like(at)),
+                        windows.append((key, np.full(len(at), doc), np.full(len(at), mark), pack(size, at, np.ones_like(at), np.zeros_like(at)),
                                         [data[a:b] for a, b in zip(begin.tolist(), end.tolist())]))
                 if windows:
-                    key, doc, place = (np.concatenate(c) for c in list(zip(*windows))[:3])
-                    gone = settle(key, doc, place, whole_docs)
+                    key, doc, mark, place = (np.concatenate(c) for c in list(zip(*windows))[:4])
+                    gone = settle(key, doc, mark, place, whole_docs)
                     place = place | np.where(gone, GONE, 0)
-                    key = np.where(gone, mix((place ^ doc).view(np.uint64)).view(np.int64), key)
-                    bodies = [b for w in windows for b in w[3]]
-                    out[0].extend(key.tolist())
-                    out[1].extend(doc.tolist())
-                    out[2].extend(place.tolist())
-                    out[3].extend(b"" if g else b for g, b in zip(gone.tolist(), bodies))
+                    key = np.where(gone, mix((place ^ doc ^ mark).view(np.uint64)).view(np.int64), key)
+                    bodies = [b for w in windows for b in w[4]]
+                    for column, values in zip(out, (key, doc, mark, place)):
+                        column.extend(values.tolist())
+                    out[4].extend(b"" if g else b for g, b in zip(gone.tolist(), bodies))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    names=["anchor", "doc_id", "place", "body"])
+                    [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                    names=["anchor", "doc_id", "mark", "place", "body"])
 
-    return (keyed.filter("doc_id is not null").join(listed, ["doc_id", "mark"]).select(*keyed.columns, "wanted")
-            .mapInArrow(take, "anchor long, doc_id long, place long, body binary"))
+    return (keyed.filter("doc_id is not null").join(listed, TEXT).select(*keyed.columns, "wanted")
+            .mapInArrow(take, "anchor long, doc_id long, mark long, place long, body binary"))
 
 
 def removed_spans(classified: DataFrame, found: DataFrame) -> DataFrame:
-    """(doc_id, mark, places) of passages flagged GONE and of the runs of windows `found` (doc_id, place)."""
-    gone = classified.filter(F.col("place").bitwiseAND(GONE) > 0).select("doc_id", "place").unionByName(found)
-    return (gone.withColumn("mark", F.shiftrightunsigned("place", SHIFT).cast("int"))
-            .groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places")))
+    """(doc_id, mark, size, places) of passages flagged GONE and of the runs of windows `found` (doc_id, mark, place)."""
+    gone = classified.filter(F.col("place").bitwiseAND(GONE) > 0).select("doc_id", "mark", "place").unionByName(found)
+    return (gone.withColumn("size", F.shiftrightunsigned("place", SHIFT).cast("int"))
+            .groupBy(*TEXT).agg(F.collect_list("place").alias("places")))
 
 
 def merged(places, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -310,5 +321,5 @@ def attach_places(keyed: DataFrame, gone: DataFrame) -> DataFrame:
 
     Reads the same columns as `passage_texts`, so that both joins share one shuffle of the texts.
     """
-    known = keyed.filter("doc_id is not null").join(gone, ["doc_id", "mark"], "left").select(*keyed.columns, "places")
+    known = keyed.filter("doc_id is not null").join(gone, TEXT, "left").select(*keyed.columns, "places")
     return known.unionByName(keyed.filter("doc_id is null").withColumn("places", F.lit(None).cast("array<long>")))

@@ -9,8 +9,6 @@ it is added, and equal passages are added once.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,15 +68,16 @@ class Automaton:
 
 
 def repeated_windows(groups, window: int):
-    """(doc_id, place) of runs of windows that start in an earlier document; input is sorted by anchor, doc_id."""
+    """(doc_id, mark, place) of runs of windows that start in an earlier document; input is sorted by anchor, doc_id."""
     for table in P.in_groups(groups, "anchor", 4096):
-        docs, places = [], []
+        docs, marks, places = [], [], []
         shard = anchor = None
         waiting, waiting_doc = [], None
-        for key, doc, place, body in zip(*(table.column(c).to_pylist() for c in ("anchor", "doc_id", "place", "body"))):
-            mark, first, _, flags = P.unpack(np.int64(place))
+        for key, doc, mark, place, body in zip(*(table.column(c).to_pylist() for c in ("anchor", "doc_id", "mark", "place", "body"))):
+            size, first, _, flags = P.unpack(np.int64(place))
             if flags & P.GONE:
                 docs.append([doc])
+                marks.append([mark])
                 places.append([place])
                 continue
             if key != anchor:
@@ -93,11 +92,12 @@ def repeated_windows(groups, window: int):
                 cut = np.flatnonzero(np.append(True, np.diff(hits) > 1))
                 count = np.diff(np.append(cut, len(hits)))
                 docs.append([doc] * len(cut))
-                places.append(P.pack(mark, first + hits[cut], count, np.zeros_like(count)))
+                marks.append([mark] * len(cut))
+                places.append(P.pack(size, first + hits[cut], count, np.zeros_like(count)))
             waiting.append(words)
         if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in (docs, places)],
-                                             names=["doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in (docs, marks, places)],
+                                             names=["doc_id", "mark", "place"])
 
 
 def word_spans(data: bytes, first: np.ndarray, last: np.ndarray):
@@ -135,8 +135,8 @@ def drop_repeated_passages(docs: DataFrame, window: int = 50, gram: int = 16) ->
                 yield batch.set_column(at, "body", pa.array([_plain(b) for b in batch.column("body").to_pylist()], pa.binary()))
         yield from repeated_windows(plain(), window)
 
-    found = (texts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "place")
-             .mapInArrow(match, "doc_id long, place long"))
+    found = (texts.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "mark", "place")
+             .mapInArrow(match, "doc_id long, mark long, place long"))
     gone = P.removed_spans(classified, found)
 
     def keep(batches):

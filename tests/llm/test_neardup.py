@@ -65,6 +65,16 @@ def test_graph_recall():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(best.tolist(), found.tolist())]) > 0.9
 
 
+def test_one_id_with_several_labels_and_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (5, [1.0, 0.1], 1), (1, [1.0, 0.01], 2), (6, [1.0, 0.2], 2), (9, [0.0, 1.0], 1), (1, [0.05, 1.0], 1)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    # Two links of label 1, one of label 2; the rows of id 1 are three nodes.
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (5, 1, 1), (6, 1, 1), (9, 1, 1)]
+    rows = [(4, [1.0, 0.0], 1), (5, [1.0, 0.1], 1), (4, [0.0, 1.0], 2), (3, [0.1, 1.0], 2)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.component_id) for r in got) == [(3, 3), (4, 3), (4, 4), (5, 4)]
+
+
 def test_missing_ids_and_empty_table(spark):
     rows = [(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [2.0, 0.0], 1)]
     got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()

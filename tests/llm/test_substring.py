@@ -52,8 +52,18 @@ def test_repeated_and_missing_ids(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (1, 0), (1, 0), (2, 60)]
 
 
+def test_many_texts_under_one_id(spark):
+    """3,000 different texts share an id; every second one ends with the passage of an earlier document."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"own{i} " + " ".join(f"t{i}x{k}" for k in range(30)) + (f" {passage}" if i % 2 else "") for i in range(3000)]
+    rows = [(0, passage, None, None, None), *((1, t, None, None, None) for t in texts)]
+    got = substring.drop_repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    expected = [(0, passage, 60, 0)] + [(1, " ".join(t.split()[:31]), len(t.split()), 60 * (i % 2)) for i, t in enumerate(texts)]
+    assert sorted((r.doc_id, r.text, r.n_words, r.n_removed) for r in got) == sorted(expected)
+
+
 def test_empty_table_and_extra_columns(spark):
-    docs = spark.createDataFrame([], SCHEMA + ", mark int, places string, anchor long")
+    docs = spark.createDataFrame([], SCHEMA + ", mark int, places string, anchor long, size int, shared int")
     assert substring.drop_repeated_passages(docs).count() == 0
 
 
