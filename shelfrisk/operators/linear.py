@@ -1,84 +1,144 @@
-"""Least squares per group: one aggregate for all groups, then a small solve on one row per group."""
+"""Least squares per group by a tall-skinny QR decomposition: tasks reduce rows to small triangles, triangles merge."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrisk.session import attach, broadcast_if_small, materialise
 
-# A predictor is undefined when earlier ones leave less than this share of its variance. Stricter than a QR
-# decomposition of the rows, which drops columns below 1e-7 of their norm (1e-14 in variance): covariances in
-# double precision do not carry that many digits.
-TOLERANCE = 1e-12
+# The steps below travel to the executors with the job, so only the driver needs this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Fixed value: a predictor is undefined if what earlier ones leave of it is shorter than this share of its length.
+TOLERANCE = 1e-7
+# Groups whose triangles a task holds at once.
+HELD_GROUPS = 4096
+# Triangles of one group that are merged in one step are spread over this many first.
+SALTS = 256
 
-def fit_linear(rows: DataFrame, group: str, target: str, predictors: list[str],
-               tolerance: float = TOLERANCE) -> DataFrame:
+
+def fit_linear(rows: DataFrame, group: str, target: str, predictors: list[str], tolerance: float = TOLERANCE) -> DataFrame:
     """One row per group: `n`, `intercept`, `b_<predictor>`, `full_rank`, `status`.
 
     `status` says why a group has no usable model: 'fitted', 'missing values', 'too few rows' or 'undefined
-    coefficients'. One failing group never stops the others.
+    coefficients'. One failing group never stops the others. Coefficients of predictors that earlier ones determine are
+    NULL and the others are fitted without them.
 
-    Coefficients of predictors that earlier ones determine are NULL and the others are fitted
-    without them. The moments are merged from partial aggregates, so a hot group is no special case.
+    The rows' own digits are kept: sums of products would lose all that is below 1e-8 of a column. A task turns its rows of a
+    group into one triangle, so a hot group moves a triangle per task, and those are merged in two steps.
     """
     names = [*predictors, target]
-    size = len(predictors)
-    x = [F.col(name).cast("double") for name in names]
-    pairs = [(i, j) for i in range(size) for j in range(i, size + 1)]
-    moments = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(c) for c in x]).alias("means"),
-        F.array(*[F.covar_pop(x[i], x[j]) for i, j in pairs]).alias("products"))
-    fields = [f"`{group}` {rows.schema[group].dataType.simpleString()}", "n long", "intercept double",
-              *[f"`b_{p}` double" for p in predictors], "full_rank boolean"]
-    solved = moments.mapInPandas(_solver(group, predictors, pairs, tolerance), ", ".join(fields))
+    size = len(names) + 1
+    key = f"`{group}` {rows.schema[group].dataType.simpleString()}"
+    wide = rows.filter(F.col(group).isNotNull()).select(group, F.array(*[F.col(c).cast("double") for c in names]).alias("values"))
+    parts = wide.mapInArrow(_triangles(group, size), f"{key}, n long, triangle array<double>")
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    merge = _merged(group, size)
+    salted = parts.withColumn("salt", salt).groupBy(group, "salt").applyInPandas(merge, f"{key}, n long, triangle array<double>")
+    whole = salted.groupBy(group).applyInPandas(merge, f"{key}, n long, triangle array<double>")
+    fields = [key, "n long", "intercept double", *[f"`b_{p}` double" for p in predictors], "full_rank boolean"]
+    solved = whole.mapInPandas(_solver(group, predictors, tolerance), ", ".join(fields))
     missing = F.col("intercept").isNull() | F.isnan("intercept")
     return materialise(solved.withColumn("status", F.when(F.col("full_rank") & ~missing, "fitted").when(missing, "missing values")
-                                         .when(F.col("n") <= size, "too few rows").otherwise("undefined coefficients")))
-
-
-def _solver(group: str, predictors: list[str], pairs: list[tuple[int, int]], tolerance: float):
-    """Batch step from moments to coefficients; self-contained, so executors need no copy of this package."""
-    size = len(predictors)
-
-    def eliminate(table: np.ndarray) -> np.ndarray:
-        # One predictor at a time in all (covariances | target) tables; NaN marks undefined ones.
-        own = np.einsum("gii->gi", table[:, :, :size]).copy()
-        used = np.zeros(own.shape, dtype=bool)
-        for k in range(size):
-            ok = (table[:, k, k] > tolerance * own[:, k]) & (own[:, k] > 0)
-            used[:, k] = ok
-            row = table[:, k, :] / np.where(ok, table[:, k, k], 1.0)[:, None]
-            reduced = table - table[:, :, k][:, :, None] * row[:, None, :]
-            reduced[:, k, :] = row
-            table = np.where(ok[:, None, None], reduced, table)
-        return np.where(used, table[:, :, size], np.nan)
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                                         .when(F.col("n") <= len(predictors), "too few rows").otherwise("undefined coefficients")))
+
+
+def _triangles(group: str, size: int):
+    """Batch step: the triangle of (1, predictors, target) of each group's rows. A group with a missing value has NaN throughout."""
+
+    def run(batches):
+        held, kind = {}, None
+
+        def flushed():
+            names = list(held)
+            out = [held.pop(k) for k in names]
+            return pa.RecordBatch.from_arrays([pa.array(names, kind), pa.array([n for n, _ in out], pa.int64()),
+                                               pa.array([t.ravel() for _, t in out], pa.list_(pa.float64()))], names=[group, "n", "triangle"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(group).dictionary_encode()
+            kind = batch.column(group).type
+            flat = batch.column("values").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            table = np.column_stack([np.ones(batch.num_rows), flat.reshape(-1, size - 1)])
+            code = own.indices.to_numpy()
+            order = np.argsort(code, kind="stable")
+            cut = np.flatnonzero(np.append(True, np.diff(code[order]) > 0))
+            for a, b in zip(cut, np.append(cut[1:], len(order))):
+                name = own.dictionary[int(code[order[a]])].as_py()
+                n, triangle = held.get(name, (0, np.zeros((0, size))))
+                held[name] = n + int(b - a), reduced(np.vstack([triangle, table[order[a:b]]]), size)
+                if len(held) >= HELD_GROUPS:
+                    yield flushed()
+        if held:
+            yield flushed()
+
+    return run
+
+
+def reduced(rows: np.ndarray, size: int) -> np.ndarray:
+    """The triangle whose columns have the same products as those of `rows`; zeros below if there are few rows."""
+    out = np.zeros((size, size))
+    if np.isnan(rows).any() or np.isinf(rows).any():
+        return np.full((size, size), np.nan)
+    triangle = np.linalg.qr(rows, mode="r")
+    out[:len(triangle)] = triangle
+    return out
+
+
+def _merged(group: str, size: int):
+    def merge(parts: pd.DataFrame) -> pd.DataFrame:
+        stacked = np.vstack([np.asarray(t, dtype=float).reshape(size, size) for t in parts["triangle"]])
+        return pd.DataFrame({group: [parts[group].iloc[0]], "n": [int(parts["n"].sum())], "triangle": [reduced(stacked, size).ravel()]})
+
+    return merge
+
+
+def solve(triangle: np.ndarray, tolerance: float) -> np.ndarray:
+    """Coefficients of all columns but the last on the last, in order; NaN for a column that earlier ones determine."""
+    size = len(triangle) - 1
+    kept, basis = [], np.zeros((len(triangle), 0))
+    for k in range(size):
+        column = triangle[:, k]
+        rest = column - basis @ (basis.T @ column)
+        rest = rest - basis @ (basis.T @ rest)  # once more, for the digits that the first step lost
+        length = np.linalg.norm(rest)
+        if length > tolerance * np.linalg.norm(column):
+            kept.append(k)
+            basis = np.column_stack([basis, rest / length])
+    found = np.full(size, np.nan)
+    if kept:
+        found[kept] = np.linalg.solve(basis.T @ triangle[:, kept], basis.T @ triangle[:, size])
+    return found
+
+
+def _solver(group: str, predictors: list[str], tolerance: float):
+    """Batch step from triangles to coefficients."""
+    size = len(predictors) + 2
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            means = np.array(batch["means"].tolist(), dtype=float).reshape(len(batch), size + 1)
-            products = np.array(batch["products"].tolist(), dtype=float).reshape(len(batch), len(pairs))
-            table = np.zeros((len(batch), size, size + 1))
-            for at, (i, j) in enumerate(pairs):
-                table[:, i, j] = products[:, at]
-                if j < size:
-                    table[:, j, i] = products[:, at]
-            slopes = eliminate(table)
-            defined = ~np.isnan(slopes)
-            result = pd.DataFrame({group: batch[group], "n": batch["n"]})
-            result["intercept"] = means[:, size] - (np.where(defined, slopes, 0.0) * means[:, :size]).sum(axis=1)
+            out = []
+            for triangle in batch["triangle"]:
+                table = np.asarray(triangle, dtype=float).reshape(size, size)
+                out.append(np.full(size - 1, np.nan) if np.isnan(table).any() else solve(table, tolerance))
+            found = np.array(out).reshape(-1, size - 1)
+            result = pd.DataFrame({group: batch[group], "n": batch["n"], "intercept": found[:, 0]})
             for i, p in enumerate(predictors):
-                result[f"b_{p}"] = pd.Series(slopes[:, i], index=batch.index, dtype="Float64").where(defined[:, i])
-            result["full_rank"] = defined.all(axis=1)
+                result[f"b_{p}"] = pd.Series(found[:, i + 1], index=batch.index, dtype="Float64").where(~np.isnan(found[:, i + 1]))
+            result["full_rank"] = ~np.isnan(found).any(axis=1)
             yield result
 
-    return solve
+    return run
 
 
 def predict_linear(rows: DataFrame, models: DataFrame, group: str, predictors: list[str]) -> DataFrame:

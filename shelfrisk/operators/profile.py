@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from shelfrisk.operators.ordered import quantiles_of_counts
 from shelfrisk.operators.schema import quoted
-from shelfrisk.operators.sales import READINGS, sales_per_station_day, with_readings
+from shelfrisk.operators.sales import JOINED, READINGS, sales_per_station_day, with_readings, with_station
 from shelfrisk.session import TASK_ROWS, materialise, row_count
 
 QUANTILES = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
@@ -25,11 +25,13 @@ def profile(df: DataFrame, columns: list[str] | None = None, weight: str | None
     fields = [f for f in df.schema if (f.name in columns if columns else f.name != weight)]
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
     text = [f.name for f in fields if not isinstance(f.dataType, T.NumericType)]
+    counts = _counts(df, numeric, text, weight)
     parts = []
     if numeric:
-        parts.append(_numbers(_counts(df, numeric, "double", weight), task_rows))
+        parts.append(_numbers(counts.filter(F.col("column").isin(numeric)).select("column", F.col("number").alias("value"), "n"), task_rows,
+                              row_count(counts) <= task_rows))
     if text:
-        parts.append(_texts(_counts(df, text, "string", weight)))
+        parts.append(_texts(counts.filter(F.col("column").isin(text)).select("column", F.col("text").alias("value"), "n")))
     types = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
     joined = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     if not numeric:
@@ -46,16 +48,18 @@ def profile(df: DataFrame, columns: list[str] | None = None, weight: str | None
 TEXT_COLUMNS = ["min_length", "max_length", "empty", "n_unique", "whitespace"]
 
 
-def _counts(df: DataFrame, names: list[str], kind: str, weight: str | None) -> DataFrame:
+def _counts(df: DataFrame, numeric: list[str], text: list[str], weight: str | None) -> DataFrame:
+    """Stored (column, number, text, n): how often each value of each column occurs, from one pass over `df`."""
     n = F.lit(1) if weight is None else F.col(weight)
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in names]))
-    long = df.select(n.cast("long").alias("n"), cells.alias("c")).select("n", "c.column", "c.value")
-    if kind == "double":
-        long = long.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
-    return materialise(long.groupBy("column", "value").agg(F.sum("n").alias("n")))
+    no_number, no_text = F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("text")
+    # NaN counts as missing.
+    cells = [F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("number"), no_text) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column"), no_number, F.col(c).cast("string").alias("text")) for c in text]
+    long = df.select(n.cast("long").alias("n"), F.explode(F.array(*cells)).alias("c")).select("n", "c.*")
+    return materialise(long.groupBy("column", "number", "text").agg(F.sum("n").alias("n")))
 
 
-def _numbers(counts: DataFrame, task_rows: int) -> DataFrame:
+def _numbers(counts: DataFrame, task_rows: int, small: bool) -> DataFrame:
     present = F.col("value").isNotNull()
     sizes = counts.groupBy("column").agg(
         F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("n_missing"),
@@ -67,8 +71,7 @@ def _numbers(counts: DataFrame, task_rows: int) -> DataFrame:
     squares = apart.groupBy("column").agg(
         F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2))).alias("ss"), F.sum("n").alias("m"))
     spread = squares.select("column", F.sqrt(F.try_divide(F.col("ss"), F.col("m") - 1)).alias("sd"))
-    present_counts = materialise(filled) if row_count(counts) > task_rows else filled
-    quartiles = quantiles_of_counts(present_counts, ["column"], QUANTILES, task_rows)
+    quartiles = quantiles_of_counts(filled if small else materialise(filled), ["column"], QUANTILES, task_rows, small=small or None)
     return sizes.join(F.broadcast(spread), "column", "left").join(F.broadcast(quartiles), "column", "left")
 
 
@@ -84,7 +87,7 @@ def _texts(counts: DataFrame) -> DataFrame:
 
 
 def profile_join(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Profile of `joined_table` without widening the sales: each side is weighted by its matches."""
+    """Profile of `joined_table` without widening the sales: each side is weighted by its matches and read once."""
     days = weather.groupBy("station_nbr", "date").agg(F.count(F.lit(1)).alias("n_readings"))
     matched = with_readings(sales, stores, materialise(days))
     per_sale = profile(matched, ["date", "store_nbr", "item_nbr", "units"], "n_readings", task_rows)
@@ -93,6 +96,21 @@ def profile_join(sales: DataFrame, stores: DataFrame, weather: DataFrame, task_r
     return per_sale.unionByName(per_reading)
 
 
+def listing_of_join(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """`column_listing` of `joined_table`, whose rows are never made: each station and day has so many sales, with so many values
+    per column, and every reading of it meets them all."""
+    per_sale = [c for c in JOINED if c not in ("station_nbr", *READINGS)]
+    own = [c for c in per_sale if c != "date"]
+    per_day = with_station(sales, stores).groupBy("station_nbr", "date").agg(
+        F.count(F.lit(1)).alias("__sales"), *[F.count(c).alias(f"__{c}") for c in own])
+    met = weather.join(per_day, ["station_nbr", "date"])
+    types = {f.name: f.dataType.simpleString() for f in [*weather.schema, *sales.schema]}
+    totals = {c: F.sum(f"__{c}") if c in own else F.sum(F.when(F.col(c).isNotNull(), F.col("__sales"))) for c in JOINED}
+    counts = met.agg(*[F.coalesce(total, F.lit(0)).alias(c) for c, total in totals.items()])
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("non_null"), F.lit(types[c]).alias("dtype")) for c in JOINED]
+    return counts.select(F.inline(F.array(*cells)))
+
+
 def column_listing(df: DataFrame) -> DataFrame:
     """Non-missing count and type of each column, from one aggregate."""
     counts = df.agg(*[F.count(quoted(f.name)).alias(f.name) for f in df.schema])

@@ -10,8 +10,10 @@ from shelfrisk.operators import cleaning as C
 from shelfrisk.session import (CHEAP_ROWS, TASK_ROWS, broadcast_if_small, fits_broadcast, materialise, row_count,
                                stored)
 
+# The input's reading columns, in its order.
 READINGS = ["tmax", "tmin", "tavg", "depart", "dewpoint", "wetbulb", "heat", "cool", "sunrise", "sunset", "codesum",
             "snowfall", "preciptotal", "stnpressure", "sealevel", "resultspeed", "resultdir", "avgspeed"]
+NEEDED = ["station_nbr", "date", "tavg", "preciptotal", "codesum"]
 JOINED = ["date", "store_nbr", "item_nbr", "units", "station_nbr", *READINGS]
 FLAGS = ["is_weekend", "is_rainy_day", "is_snowy_day", "is_stormy_day"]
 
@@ -95,21 +97,27 @@ def match_counts(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> Dat
     return counts.select(total.alias("n_sales"), "n_matched", (total - F.col("n_matched")).alias("n_dropped"))
 
 
-def sale_counts(sales: DataFrame, stores: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    """Stored number `n` of sale rows per product, station, date and units: the only pass over the sales that
-    product-days need.
+def sale_tallies(sales: DataFrame, stores: DataFrame, days: DataFrame,
+                 products: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(station_nbr, date, n_sales) and (item_nbr, units, n) of the sales that a reading matches, from one pass.
 
-    With `products`, the others' rows are counted per station and day alone (`wanted` is false, product and units NULL),
-    because medians come from all sales.
+    `days` has n_readings per station_nbr and date; `n` counts joined rows, one per sale and reading. Both are counted
+    before the shuffle, which carries a row per task and different key, not the sales. With `products`, only their units are
+    counted, but the sales of all: medians come from all sales.
     """
-    placed = with_station(sales, stores).withColumn("wanted", F.lit(True))
+    placed = with_station(sales, stores).join(days, ["station_nbr", "date"])
     if products is not None:
         named = products.select("item_nbr").distinct().withColumn("__named", F.lit(True))
         placed = placed.join(broadcast_if_small(named, rows=row_count(products)), "item_nbr", "left")
-        placed = placed.withColumn("wanted", F.col("__named").isNotNull())
-        placed = placed.withColumns({c: F.when(F.col("wanted"), F.col(c)) for c in ("item_nbr", "units")})
-    return materialise(placed.groupBy("wanted", "item_nbr", "station_nbr", "date", "units")
-                       .agg(F.count(F.lit(1)).alias("n")))
+        # The others share one group without product and units.
+        placed = placed.withColumns({c: F.when(F.col("__named"), F.col(c)) for c in ("item_nbr", "units")})
+    else:
+        placed = placed.withColumn("__named", F.lit(True))
+    sets = [["station_nbr", "date"], ["__named", "item_nbr", "units"]]
+    counted = materialise(placed.groupingSets(sets, *sets[0], *sets[1]).agg(
+        F.grouping("__named").alias("by_day"), F.count(F.lit(1)).alias("n_sales"), F.sum("n_readings").alias("n")))
+    return (counted.filter("by_day = 1").select("station_nbr", "date", "n_sales"),
+            counted.filter("by_day = 0 and __named").select("item_nbr", "units", "n"))
 
 
 def clean_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
@@ -118,7 +126,7 @@ def clean_weather(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> Da
 
 
 def _clean_of(per_day: DataFrame, weather: DataFrame) -> DataFrame:
-    needed = weather.select("station_nbr", F.col("date").alias("day"), "date", "tavg", "preciptotal", "codesum")
+    needed = weather.select("station_nbr", F.col("date").alias("day"), *NEEDED[1:])
     return materialise(C.clean_readings(needed.join(per_day, ["station_nbr", "date"])))
 
 
@@ -154,30 +162,27 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
                  task_rows: int = TASK_ROWS) -> DataFrame:
     """`imputed_sales` with units capped at the product's 99th percentile over the joined rows.
 
-    With `products`, only their rows are kept; medians still come from all sales. For product-days, which need no single
-    rows, `product_day_table` reads the sales less often.
+    With `products`, only their rows are kept; medians still come from all sales. The sales are read twice: once to count
+    what medians and caps need, once for the result, which meets the finished readings and caps. No copy of them is stored.
     """
-    # The caps and the result both read the products: rank them once.
+    # Both passes read the products: rank them once.
     chosen = None if products is None else stored(products)
-    joined = imputed_sales(sales, stores, weather, chosen, task_rows)
-    caps = C.upper_caps(joined.select("item_nbr", "units"), ["item_nbr"], "units", task_rows=task_rows)
+    needed = materialise(weather.select(*NEEDED))
+    days = needed.groupBy("station_nbr", "date").agg(F.count(F.lit(1)).alias("n_readings"))
+    per_day, units = sale_tallies(sales, stores, broadcast_if_small(days, rows=row_count(needed)), chosen)
+    readings = _filled(_clean_of(per_day, needed), task_rows)
+    caps = C.upper_caps(units, ["item_nbr"], "units", task_rows=task_rows, weight="n")
+    wanted = sales if chosen is None else only_products(sales, chosen)
+    joined = with_station(wanted, stores).join(readings, ["station_nbr", "date"])
     return C.apply_caps(joined, caps, ["item_nbr"], "units")
 
 
-def product_days(capped: DataFrame, weight: str | None = None) -> DataFrame:
-    """One row per product and day: capped units summed, readings averaged, any-flag; no gaps left.
-
-    With `weight`, a row counts that many times.
-    """
-    n = F.lit(1) if weight is None else F.col(weight)
-
-    def mean(reading: str):
-        return F.sum(F.col(reading) * n) / F.sum(F.when(F.col(reading).isNotNull(), n))
-
+def product_days(capped: DataFrame) -> DataFrame:
+    """One row per product and day: capped units summed, readings averaged, any-flag; no gaps left."""
     rolled = (capped.withColumn("date", S.to_day(F.col("date"))).groupBy("item_nbr", "date")
-              .agg(F.coalesce(F.sum(F.col("units_capped") * n), F.lit(0.0)).alias("units"),
-                   mean("tavg").alias("tavg"),
-                   mean("preciptotal").alias("preciptotal"),
+              .agg(F.coalesce(F.sum("units_capped"), F.lit(0.0)).alias("units"),
+                   F.avg("tavg").alias("tavg"),
+                   F.avg("preciptotal").alias("preciptotal"),
                    F.any_value("is_weekend").alias("is_weekend"),
                    *[F.max(F.col(f).cast("int")).alias(f) for f in FLAGS[1:]]))
     return C.drop_missing(rolled, ["units", "tavg", "preciptotal", *FLAGS])
@@ -185,14 +190,8 @@ def product_days(capped: DataFrame, weight: str | None = None) -> DataFrame:
 
 def product_day_table(sales: DataFrame, stores: DataFrame, weather: DataFrame, products: DataFrame | None = None,
                       task_rows: int = TASK_ROWS) -> DataFrame:
-    """Product-days of capped units and filled readings. The sales are read once, and once more by a `products` that
-    ranks them."""
-    counts = sale_counts(sales, stores, None if products is None else stored(products))
-    per_day = counts.groupBy("station_nbr", "date").agg(F.sum("n").alias("n_sales"))
-    readings = _filled(_clean_of(per_day, weather), task_rows)
-    joined = counts.filter("wanted").drop("wanted").join(readings, ["station_nbr", "date"])
-    caps = C.upper_caps(joined.select("item_nbr", "units", "n"), ["item_nbr"], "units", task_rows=task_rows, weight="n")
-    return product_days(C.apply_caps(joined, caps, ["item_nbr"], "units"), weight="n")
+    """Product-days of capped units and filled readings, from the two passes of `capped_sales`."""
+    return product_days(capped_sales(sales, stores, weather, products, task_rows))
 
 
 def units_by_flag(days: DataFrame) -> DataFrame:

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from shelfrisk.functions import tokens as K
 from shelfrisk.functions.scalars import at_least
+from shelfrisk.session import materialise, total_of
 
 # The number of features of the published model and the risk from which a record is high-risk.
 FEATURES = 483
 HIGH_RISK = 0.3
+# Most columns of a table whose width comes from the data.
+MOST_COLUMNS = 10_000
+LEAST_INT = -(1 << 31)
 
 
 def parse_lines(lines: DataFrame, text: str = "line") -> DataFrame:
@@ -59,6 +63,38 @@ def labelled(parsed: DataFrame, threshold: float = HIGH_RISK) -> DataFrame:
                                "target": at_least(F.col("risk"), threshold)}).drop("risk")
 
 
+def present(parsed: DataFrame, n_features: int = FEATURES) -> DataFrame:
+    """`pairs` without indices outside 0 to `n_features` - 1 and without zeros; NaN is 0."""
+    inside = F.filter("pairs", lambda p: (p["index"] >= 0) & (p["index"] < n_features) & (F.nanvl(p["value"], F.lit(0.0)) != 0))
+    return parsed.withColumn("pairs", inside)
+
+
+def observed_features(parsed: DataFrame, most: int = MOST_COLUMNS) -> list[int]:
+    """The feature numbers that occur, in order, so that no width need be known. Raises beyond `most`.
+
+    Numbers are set as bits before the shuffle, which moves at most one bitmap per task and 32,768 numbers.
+    """
+    numbers = parsed.select(F.explode("pairs.index").alias("index")).select((F.col("index").cast("long") - LEAST_INT + 1).alias("number"))  # from 1 on, as bitmaps count
+    maps = (numbers.groupBy(F.bitmap_bucket_number("number").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")))
+    maps = materialise(maps, numbers=F.sum(F.bitmap_count("bits")))
+    if (total_of(maps, "numbers") or 0) > most:
+        raise ValueError(f"{total_of(maps, 'numbers')} different features; at most {most} can be columns")
+    found = []
+    for row in maps.collect():  # at most `most` rows
+        first = (row["bucket"] - 1) * 32768 + LEAST_INT
+        found += [first + 8 * at + bit for at, byte in enumerate(row["bits"]) for bit in range(8) if byte >> bit & 1]
+    return sorted(found)
+
+
+def wide_observed(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """`keep`, one column per feature that occurs (absent and NaN are 0), risk_score, target."""
+    names = observed_features(parsed)
+    flat = K.computed_once(labelled(parsed), values=F.map_from_entries("pairs")).drop("pairs")
+    columns = [F.coalesce(F.nanvl(F.element_at("values", F.lit(i)), F.lit(0.0)), F.lit(0.0)).alias(f"feature_{i}") for i in names]
+    return flat.select(*(keep or []), *columns, "risk_score", "target")
+
+
 def dense(parsed: DataFrame, n_features: int = FEATURES) -> DataFrame:
     """Replace `pairs` by `values`, an array of `n_features` doubles; absent and NaN are 0, others are dropped.
 

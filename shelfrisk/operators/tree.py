@@ -1,9 +1,10 @@
-"""Regression trees of all groups at once, grown level by level with DataFrame aggregates.
+"""Regression trees of all groups at once, grown from counted predictor tuples.
 
-A level counts each node's (feature, value) pairs, adds them up in value order and keeps the split
-that lowers the squared error most. Only rows of split nodes go on to the next level. Afterwards
-subtrees that do not pay for their splits are removed (minimal cost-complexity pruning). Surrogate
-splits are not built: the rows have no missing values.
+Rows are counted once: how many rows of a group share a tuple of predictor values, with their targets' sums. A node whose
+tuples fit one row of a table is grown on there, level after level, by expressions over its array of tuples, so
+many levels fit one plan without a shuffle. Larger nodes are first split level by level, each level an aggregate over all tuples,
+until their parts fit. Afterwards subtrees that do not pay for their splits are removed (minimal cost-complexity
+pruning). Surrogate splits are not built: the rows have no missing values.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from shelfrisk.session import (BROADCAST_BYTES, TASK_ROWS, broadcast_if_small, m
 # Improvements are compared as shares of the root's squared error, to this many digits; equal ones
 # go to the earlier feature, then to the lower cut.
 SCORE_DIGITS = 9
-# Levels that one query plan spans before its rows are stored again.
-LEVELS_PER_PLAN = 3
+# Most tuples of a node that are kept as one array.
+NODE_TUPLES = 50_000
+# Levels that one query plan grows arrays by.
+LEVELS_PER_PLAN = 6
 # Largest tree, in nodes, that is sent as one value; rows walk down larger ones level by level.
 TREE_NODES = 50_000
 
@@ -42,59 +45,142 @@ class TreeModel:
 
 
 def fit_trees(rows: DataFrame, group: str, target: str, features: list[str], cp: float = 0.0001, min_split: int = 20,
-              min_bucket: int = 7, max_depth: int = 30, task_rows: int = TASK_ROWS) -> TreeModel:
+              min_bucket: int = 7, max_depth: int = 30, task_rows: int = TASK_ROWS, node_tuples: int = NODE_TUPLES) -> TreeModel:
     """Grow and prune one tree per group; groups need no minimum size (a small one is a single leaf)."""
-    x = F.array(*[F.col(f).cast("double") for f in features])
-    data = materialise(rows.filter(F.col(group).isNotNull()).select(
-        group, F.lit(1).cast("long").alias("node"), x.alias("x"), F.col(target).cast("double").alias("y")))
-    # With so few rows no node can outgrow a task.
-    small = row_count(data) <= task_rows
-    roots = materialise(data.groupBy(group).agg(F.avg("y").alias("centre"),
-                                                (F.count("y") * F.var_pop("y")).alias("root_risk")))
-    state = data.join(broadcast_if_small(roots), group).withColumn("y", F.col("y") - F.col("centre"))
-    levels = []
-    for depth in range(max_depth + 1):
-        best = _best_splits(state, group, cp, min_split, min_bucket, depth < max_depth, small, task_rows)
-        level = materialise(best, splits=F.count("feature"))
-        levels.append(level)
-        if total_of(level, "splits") == 0:
+    rules = _Rules(group, len(features), cp, min_split, min_bucket, max_depth)
+    tuples = _tuples(rows, group, target, features)
+    done, packed = [], []
+    state = tuples.withColumn("node", F.lit(1).cast("long"))
+    small = row_count(tuples) <= node_tuples
+    for _ in range(max_depth + 1):
+        if small:
+            packed.append(_packed(state, group))
+            break
+        sizes = materialise(state.groupBy(group, "node").agg(F.count(F.lit(1)).alias("tuples")),
+                            large=F.count_if(F.col("tuples") > node_tuples))
+        fitting = broadcast_if_small(sizes.filter(F.col("tuples") <= node_tuples).select(group, "node"), rows=row_count(sizes))
+        packed.append(_packed(state.join(fitting, [group, "node"], "left_semi"), group))
+        if not total_of(sizes, "large"):
             break
+        level = materialise(_best_splits(state.join(fitting, [group, "node"], "left_anti"), rules, task_rows))
+        done.append(level)
         splits = level.filter(F.col("feature").isNotNull()).select(group, "node", "feature", "cut")
-        state = _descend(state, broadcast_if_small(splits, rows=total_of(level, "splits")), group)
-        if depth % LEVELS_PER_PLAN == 0:
-            state = materialise(state)
+        state = materialise(_descend(state, broadcast_if_small(splits, rows=row_count(level)), group))
+    done += _grown(reduce(DataFrame.unionByName, packed), rules)
     depth_of = F.length(F.bin("node")) - 1
-    nodes = materialise(reduce(DataFrame.unionByName, levels).withColumn("depth", depth_of))
-    nodes = _pruned(nodes, group, cp)
+    nodes = materialise(reduce(DataFrame.unionByName, done).withColumn("depth", depth_of), deepest=F.max(depth_of))
     names = F.array(*[F.lit(f) for f in features])
-    labelled = nodes.withColumn("feature", F.when(F.col("feature").isNotNull(), F.get(names, F.col("feature"))))
+    labelled = _pruned(nodes, group, cp).withColumn("feature", F.when(F.col("feature").isNotNull(), F.get(names, F.col("feature"))))
     return TreeModel(group, features, materialise(labelled.select(
-        group, "node", "depth", "n", "mean", "risk", "feature", "cut", "gain")), len(levels) - 1)
-
-
-def _best_splits(state: DataFrame, group: str, cp: float, min_split: int, min_bucket: int, may_split: bool,
-                 small: bool, task_rows: int) -> DataFrame:
-    """Per node: size, mean, squared error and, where one is worth trying, the best split."""
-    if small:
-        # One shuffle by node serves all steps below. Larger inputs are counted before they move.
-        state = state.repartition(group, "node")
-    long = state.select(quoted(group), "node", "y", "centre", "root_risk",
-                        F.expr("posexplode(x) as (feature, value)"))
-    counts = long.groupBy(quoted(group), "node", "feature", "value").agg(*[F.expr(e) for e in (
-        "count(1) as n", "sum(y) as s", "sum(y * y) as q", "max(centre) as centre", "max(root_risk) as root_risk")])
+        group, "node", "depth", "n", "mean", "risk", "feature", "cut", "gain")), total_of(nodes, "deepest") or 0)
+
+
+@dataclass
+class _Rules:
+    group: str
+    features: int
+    cp: float
+    min_split: int
+    min_bucket: int
+    max_depth: int
+
+
+def _tuples(rows: DataFrame, group: str, target: str, features: list[str]) -> DataFrame:
+    """Stored (group, x, n, s, q, centre, root_risk): rows, sum and sum of squares of the target about the group's mean, per
+    different tuple x. The rows are read and shuffled once, counted before they move."""
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    y = F.col(target).cast("double")
+    counted = materialise(rows.filter(F.col(group).isNotNull()).groupBy(quoted(group), x.alias("x")).agg(
+        F.count(y).alias("n"), F.avg(y).alias("mean"), (F.count(y) * F.var_pop(y)).alias("inside")))
+    centres = counted.groupBy(group).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    away = F.col("mean") - F.col("centre")
+    apart = counted.join(broadcast_if_small(centres, rows=row_count(counted)), group).select(
+        group, "x", "n", (F.col("n") * away).alias("s"), (F.col("inside") + F.col("n") * away * away).alias("q"), "centre")
+    roots = apart.groupBy(group).agg((F.sum("q") - F.pow(F.sum("s"), F.lit(2)) / F.sum("n")).alias("root_risk"))
+    return materialise(apart.join(broadcast_if_small(roots, rows=row_count(counted)), group))
+
+
+def _packed(state: DataFrame, group: str) -> DataFrame:
+    """One row per node with its tuples as an array."""
+    return state.groupBy(group, "node").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.any_value("centre").alias("centre"),
+        F.any_value("root_risk").alias("root_risk"), F.collect_list(F.struct("x", "n", "s", "q")).alias("tuples"))
+
+
+def _grown(nodes: DataFrame, rules: _Rules) -> list[DataFrame]:
+    """Finished nodes of all trees below `nodes`, in stored tables of LEVELS_PER_PLAN levels each."""
+    key = f"`{rules.group}`"
+    state = nodes.selectExpr(key, "centre", "root_risk", "struct(node, n, s, q, tuples, cast(null as int) as feature, "
+                             "cast(null as double) as cut, cast(null as double) as gain, false as done) as at")
+    out = []
+    while True:
+        for _ in range(LEVELS_PER_PLAN):
+            state = _one_level(state, rules)
+        flat = state.selectExpr(key, "centre", "root_risk", "at.*")
+        stored = materialise(flat, pending=F.count_if(~F.col("done")))
+        out.append(stored.filter("done").selectExpr(key, "node", "n", "centre + s / n as mean", "q - s * s / n as risk", "root_risk",
+                                                    "feature", "cut", "gain"))
+        if not total_of(stored, "pending"):
+            return out
+        state = stored.filter("not done").selectExpr(key, "centre", "root_risk", "struct(node, n, s, q, tuples, feature, cut, gain, done) as at")
+
+
+def _one_level(state: DataFrame, rules: _Rules) -> DataFrame:
+    """Pending nodes become finished ones and, where a split is worth it, two pending children."""
+    key = f"`{rules.group}`"
+    # Spark does not repeat an expression inside a generator, so the search for the best split runs once per node.
+    found = state.withColumn("best", F.expr(f"case when not at.done then {_best_of_node(rules)} end"))
+    sides = []
+    for side, child in (("<", "2 * at.node"), (">=", "2 * at.node + 1")):
+        own = f"filter(at.tuples, t -> get(t.x, -best.early) {side} best.cut)"
+        total = (f"aggregate({own}, named_struct('n', 0L, 's', 0D, 'q', 0D), "
+                 "(a, t) -> named_struct('n', a.n + t.n, 's', a.s + t.s, 'q', a.q + t.q))")
+        sides.append(f"struct({child} as node, {total} as total, {own} as tuples)")
+    pending = "cast(null as int) as feature, cast(null as double) as cut, cast(null as double) as gain, false as done"
+    children = (f"transform(array({', '.join(sides)}), c -> struct(c.node as node, c.total.n as n, c.total.s as s, c.total.q as q, "
+                f"c.tuples as tuples, {pending}))")
+    finished = ("struct(at.node as node, at.n as n, at.s as s, at.q as q, cast(null as array<struct<x: array<double>, n: bigint, s: double, "
+                "q: double>>) as tuples, -best.early as feature, best.cut as cut, best.gain as gain, true as done)")
+    return found.selectExpr(key, "centre", "root_risk", f"explode(case when at.done then array(at) when best is null then array({finished}) "
+                            f"else concat(array({finished}), {children}) end) as at")
+
+
+def _best_of_node(rules: _Rules) -> str:
+    """The best split of the node `at`, as SQL: (score, early, low, cut, gain), or NULL if none is worth it.
+
+    Per feature the tuples are sorted by its value and scanned once with the running sums of the side below the cut."""
+    enough = (f"at.n >= {rules.min_split} and length(bin(at.node)) <= {rules.max_depth} "
+              f"and at.q - at.s * at.s / at.n > cast({rules.cp!r} as double) * root_risk")
+    gain = "(a.s * a.s / a.n + (at.s - a.s) * (at.s - a.s) / (at.n - a.n) - at.s * at.s / at.n)"
+    none = "cast(null as struct<score: double, early: int, low: double, cut: double, gain: double>)"
+    scans = []
+    for i in range(rules.features):
+        cut = (f"case when t.v > a.v and a.n >= {rules.min_bucket} and at.n - a.n >= {rules.min_bucket} then named_struct("
+               f"'score', round(try_divide({gain}, root_risk), {SCORE_DIGITS}), 'early', {-i}, 'low', -a.v, 'cut', (a.v + t.v) / 2, 'gain', {gain}) end")
+        scans.append(f"aggregate(array_sort(transform(at.tuples, t -> struct(get(t.x, {i}) as v, t.n as n, t.s as s))), "
+                     f"named_struct('n', 0L, 's', 0D, 'v', cast(null as double), 'best', {none}), "
+                     f"(a, t) -> named_struct('n', a.n + t.n, 's', a.s + t.s, 'v', t.v, 'best', greatest(a.best, {cut})), a -> a.best)")
+    best = f"greatest({', '.join(scans)})" if len(scans) > 1 else scans[0]
+    return f"get(filter(array(case when {enough} then {best} end), b -> b.score > 0), 0)"
+
+
+def _best_splits(state: DataFrame, rules: _Rules, task_rows: int) -> DataFrame:
+    """Per large node: size, mean, squared error and, where one is worth trying, the best split."""
+    group = rules.group
+    long = state.select(quoted(group), "node", "n", "s", "q", "centre", "root_risk", F.expr("posexplode(x) as (feature, value)"))
+    counts = materialise(long.groupBy(quoted(group), "node", "feature", "value").agg(*[F.expr(e) for e in (
+        "sum(n) as n", "sum(s) as s", "sum(q) as q", "max(centre) as centre", "max(root_risk) as root_risk")]))
     keys = [group, "node", "feature"]
-    if not small:
-        counts = materialise(counts)
-    totals = running_totals(counts, keys, ["n", "s", "q"], small=small or fits_one_task(counts, keys, task_rows))
+    totals = running_totals(counts, keys, ["n", "s", "q"], small=fits_one_task(counts, keys, task_rows))
     # `_upto` is the side below the cut, the rest of `_all` the side above it.
     split = totals.selectExpr(
         "*", "q_all - s_all * s_all / n_all as risk",
         "s_upto * s_upto / n_upto + try_divide((s_all - s_upto) * (s_all - s_upto), n_all - n_upto) "
         "- s_all * s_all / n_all as gain")
     scored = split.selectExpr("*", f"round(try_divide(gain, root_risk), {SCORE_DIGITS}) as score")
-    allowed = (f"{str(may_split).lower()} and next_value is not null and n_all >= {min_split} "
-               f"and n_upto >= {min_bucket} and n_all - n_upto >= {min_bucket} "
-               f"and risk > cast({cp!r} as double) * root_risk and score > 0")
+    allowed = (f"length(bin(node)) <= {rules.max_depth} and next_value is not null and n_all >= {rules.min_split} "
+               f"and n_upto >= {rules.min_bucket} and n_all - n_upto >= {rules.min_bucket} "
+               f"and risk > cast({rules.cp!r} as double) * root_risk and score > 0")
     best = (f"max(case when {allowed} then named_struct('score', score, 'early', -feature, 'low', -value, "
             "'cut', (value + next_value) / 2, 'gain', gain) end) as best")
     nodes = scored.groupBy(quoted(group), "node").agg(*[F.expr(e) for e in (
@@ -105,56 +191,40 @@ def _best_splits(state: DataFrame, group: str, cp: float, min_split: int, min_bu
 
 
 def _descend(state: DataFrame, splits: DataFrame, group: str) -> DataFrame:
-    """Rows of split nodes, moved to the child they fall in."""
+    """Tuples of split nodes, moved to the child they fall in."""
     moved = state.join(splits, [group, "node"])
     right = (F.get("x", F.col("feature")) >= F.col("cut")).cast("long")
     return moved.withColumn("node", F.col("node") * 2 + right).drop("feature", "cut")
 
 
-def _ancestors(nodes: DataFrame, group: str) -> DataFrame:
-    """(group, under, node): every node above each of `nodes`, itself included."""
-    above = F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("up")
-    return (nodes.select(group, F.col("node").alias("under"), above)
-            .select(group, "under", F.expr("shiftright(under, up)").alias("node")))
-
-
 def _pruned(nodes: DataFrame, group: str, cp: float) -> DataFrame:
     """Smallest subtree that minimises squared error plus `cp` times the root's error per leaf.
 
-    A split that earns more than its price always stays, so only cheaper ones are weighed, from the
-    deepest level below them upwards.
+    A split needs more than `cp` of the root's error, so a level has at most 1 / `cp` of them and a tree fits one array.
+    Its nodes are folded in post-order with a stack of the costs of subtrees: a leaf puts its cost on the stack, a split
+    replaces its children's by their sum or, if that is no less, by its own cost as a leaf; then it is an end.
     """
-    price = cp * F.col("root_risk")
-    weak = materialise(nodes.filter(F.col("feature").isNotNull() & (F.col("gain") <= price)).select(group, "node"))
-    if row_count(weak) == 0:
+    weak = nodes.filter(F.col("feature").isNotNull() & (F.col("gain") <= cp * F.col("root_risk"))).select(group).distinct()
+    trees = materialise(nodes.join(weak, group, "left_semi").groupBy(group).agg(F.array_sort(F.collect_list(F.struct(
+        # A node's path from the root with a last digit that sorts after both children's.
+        F.concat(F.expr("substring(bin(node), 2)"), F.lit("2")).alias("path"), F.col("node"),
+        (F.col("risk") + cp * F.col("root_risk")).alias("as_leaf"), F.col("feature").isNotNull().alias("is_split")))).alias("tree")))
+    if not row_count(trees):
         return nodes
-    weighed = (_ancestors(nodes, group).join(broadcast_if_small(weak), [group, "node"], "left_semi")
-               .select(group, F.col("under").alias("node")).distinct())
-    branches = materialise(nodes.join(weighed, [group, "node"]).select(
-        group, "node", "depth", (F.col("risk") + price).alias("as_leaf"),
-        F.col("feature").isNotNull().alias("is_split")))
-    sizes = dict(branches.groupBy("depth").count().collect())
-    below, collapsed = None, []
-    for depth in sorted(sizes, reverse=True):
-        here = branches.filter(F.col("depth") == depth).drop("depth")
-        if below is None:
-            here = here.withColumn("cost", F.col("as_leaf"))
-        else:
-            subtree = below.groupBy(group, F.shiftright("node", 1).alias("node")).agg(F.sum("cost").alias("subtree"))
-            here = here.join(broadcast_if_small(subtree, rows=row_count(below)), [group, "node"], "left")
-            here = here.withColumn("cost", F.least("as_leaf", "subtree")).drop("subtree")
-        below = materialise(here)
-        collapsed.append(below.filter(F.col("is_split") & (F.col("cost") >= F.col("as_leaf"))).select(group, "node"))
-    ends = materialise(reduce(DataFrame.unionByName, collapsed))
-    # Nodes under a collapsed one go, the collapsed one becomes a leaf.
-    under = _ancestors(nodes, group).filter(F.col("under") != F.col("node"))
-    gone = materialise(under.join(broadcast_if_small(ends), [group, "node"], "left_semi")
-                       .select(group, F.col("under").alias("node")).distinct())
-    kept = nodes.join(broadcast_if_small(gone), [group, "node"], "left_anti")
-    marked = kept.join(broadcast_if_small(ends.withColumn("__end", F.lit(True)), rows=row_count(ends)),
-                       [group, "node"], "left")
-    return marked.withColumns({c: F.when(F.col("__end").isNull(), F.col(c)) for c in ("feature", "cut", "gain")}).drop(
-        "__end")
+    below = "(element_at(a.stack, -1) + element_at(a.stack, -2))"
+    rest = "slice(a.stack, 1, size(a.stack) - 2)"
+    fold = ("aggregate(tree, named_struct('stack', cast(array() as array<double>), 'ends', cast(array() as array<bigint>)), "
+            "(a, t) -> case when not t.is_split then named_struct('stack', array_append(a.stack, t.as_leaf), 'ends', a.ends) "
+            f"when {below} >= t.as_leaf then named_struct('stack', array_append({rest}, t.as_leaf), 'ends', array_append(a.ends, t.node)) "
+            f"else named_struct('stack', array_append({rest}, {below}), 'ends', a.ends) end, a -> a.ends)")
+    ends = materialise(trees.selectExpr(f"`{group}`", f"explode({fold}) as node"))
+    # Nodes under an end go, the end becomes a leaf.
+    above = (nodes.select(group, F.col("node").alias("under"), F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("up"))
+             .select(group, "under", "up", F.expr("shiftright(under, up)").alias("node")))
+    reached = (above.join(broadcast_if_small(ends), [group, "node"], "left_semi").groupBy(group, F.col("under").alias("node"))
+               .agg(F.max("up").alias("__up")))
+    marked = nodes.join(broadcast_if_small(reached, rows=row_count(nodes)), [group, "node"], "left").filter("coalesce(__up, 0) = 0")
+    return marked.withColumns({c: F.when(F.col("__up").isNull(), F.col(c)) for c in ("feature", "cut", "gain")}).drop("__up")
 
 
 def predict_trees(rows: DataFrame, model: TreeModel, tree_nodes: int = TREE_NODES) -> DataFrame:

@@ -137,7 +137,7 @@ where w.ask is not null""",
     }
 
 
-def _linear_ctes() -> dict[str, str]:
+def _linear_ctes(tolerance: str = "1e-12") -> dict[str, str]:
     size = len(PREDICTORS)
     cells = [(i, j) for i in range(size) for j in range(size + 1)]
     column = [f"x[{i + 1}]" for i in range(size)] + ["y"]
@@ -146,7 +146,7 @@ def _linear_ctes() -> dict[str, str]:
         + "], recursive := true) from fit_rows group by item_nbr"}
     for k in range(size):
         ctes[f"p{k}"] = f"""
-select a.item_nbr, {k} as i, a.v > 1e-12 * o.v and o.v > 0 as ok
+select a.item_nbr, {k} as i, a.v > {tolerance} * o.v and o.v > 0 as ok
 from e{k} a join e0 o using (item_nbr, i, j) where i = {k} and j = {k}"""
         ctes[f"e{k + 1}"] = f"""
 select a.item_nbr, a.i, a.j, case when not u.ok then a.v when a.i = {k} then a.v / p.v
@@ -291,9 +291,10 @@ def _sparse(final: str, *more: dict[str, str]) -> str:
     return _with(ctes, final)
 
 
-def _round_ctes(tree: int, rows: str) -> dict[str, str]:
-    """One regression tree of depth 2 on `rows` (vec_id, r): a<tree>_<depth> places rows, b<tree>_<depth> splits nodes."""
-    ctes = {f"a{tree}_0": f"select vec_id, 1::bigint as node, r from ({rows})"}
+def _round_ctes(tree: str, rows: str, values: str) -> dict[str, str]:
+    """One regression tree of depth 2, fitted to the `rows` (vec_id, r, train) that train: a<tree>_<depth> places all rows,
+    b<tree>_<depth> splits nodes. Cuts lie half-way to the next of the feature's `values` (feature, value, next_value)."""
+    ctes = {f"a{tree}_0": f"select vec_id, 1::bigint as node, r, train from ({rows})"}
     for depth in (0, 1):
         at, best = f"a{tree}_{depth}", f"b{tree}_{depth}"
         ctes[best] = f"""
@@ -302,37 +303,62 @@ select node, feature, cut, gain from (
     select *, (value + next_value) / 2 as cut,
       (left_s * left_s / left_n + (s - left_s) * (s - left_s) / nullif(n - left_n, 0) - s * s / n) as gain
     from (
-      select *, sum(vn) over upto as left_n, sum(vs) over upto as left_s, lead(value) over w as next_value,
+      select v.*, next_value, sum(vn) over upto as left_n, sum(vs) over upto as left_s,
         sum(vn) over (partition by node, feature) as n, sum(vs) over (partition by node, feature) as s
-      from (select node, feature, value, count(*) as vn, sum(r) as vs from {at} join cells using (vec_id) group by all)
-      window w as (partition by node, feature order by value),
-        upto as (partition by node, feature order by value rows unbounded preceding)))
-  where next_value is not null and round(gain, 10) > 0)
+      from (select node, feature, value, count(*) as vn, sum(r) as vs from {at} join cells using (vec_id) where train group by all) v
+      join {values} using (feature, value)
+      window upto as (partition by node, feature order by value rows unbounded preceding)))
+  where left_n < n and round(gain, 10) > 0)
 where place = 1"""
         ctes[f"a{tree}_{depth + 1}"] = f"""
-select a.vec_id, a.node * 2 + cast(c.value > b.cut as int) as node, a.r
+select a.vec_id, a.node * 2 + cast(c.value > b.cut as int) as node, a.r, a.train
 from {at} a join {best} b using (node) join cells c on c.vec_id = a.vec_id and c.feature = b.feature"""
     ctes[f"placed{tree}"] = " union all ".join(f"select * from a{tree}_{d}" for d in range(3))
     ctes[f"nodes{tree}"] = f"""
-select {tree - 1} as tree, p.node, n, mean, feature, cut, gain
-from (select node, count(*) as n, avg(r) as mean from placed{tree} group by node) p
+select p.node, n, mean, feature, cut, gain
+from (select node, count(*) as n, avg(r) as mean from placed{tree} where train group by node) p
 left join (select * from b{tree}_0 union all select * from b{tree}_1) b on p.node = b.node"""
     ctes[f"said{tree}"] = f"""
 select vec_id, arg_max(mean, node) as mean from placed{tree} join nodes{tree} using (node) group by vec_id"""
     return ctes
 
 
-def _boost_ctes() -> dict[str, str]:
-    """Two rounds: the first tree fits labels of -1 and 1, the second 4y / (1 + exp(2yF)); it counts a tenth."""
-    cells = {
-        "cells": f"""
+# Dense cells and labels of -1 and 1.
+BOOST = {
+    "cells": f"""
 select l.vec_id, f.i as feature, coalesce(v.value, 0) as value
 from labels_ l cross join range(0, {N_FEATURES}) f(i) left join long v on v.vec_id = l.vec_id and v.feature_number = f.i""",
-        "signs": "select vec_id, 2.0::double * target - 1 as y from labels_",
-    }
-    return (cells | _round_ctes(1, "select vec_id, y as r from signs")
-            | _round_ctes(2, "select vec_id, 4 * y / (1 + exp(2 * y * mean)) as r from signs join said1 using (vec_id)")
-            | {"boosted": "select * from nodes1 union all select * from nodes2"})
+    "signs": "select vec_id, 2.0::double * target - 1 as y from labels_",
+}
+
+
+def _two_rounds(name: str, train: str, rows: str) -> dict[str, str]:
+    """The first tree fits the labels, the second 4y / (1 + exp(2yF)); `rows` has vec_id, y and what `train` needs."""
+    values = {f"values{name}": f"""
+select feature, value, lead(value) over (partition by feature order by value) as next_value
+from (select distinct feature, value from cells join ({rows}) using (vec_id) where {train})"""}
+    return (values | _round_ctes(f"{name}1", f"select vec_id, y as r, {train} as train from ({rows})", f"values{name}")
+            | _round_ctes(f"{name}2", f"select vec_id, 4 * y / (1 + exp(2 * y * mean)) as r, {train} as train from ({rows}) join said{name}1 using (vec_id)",
+                          f"values{name}"))
+
+
+def _boost_ctes() -> dict[str, str]:
+    """Both trees on all rows; the second counts a tenth."""
+    return BOOST | _two_rounds("", "true", "select * from signs") | {
+        "boosted": "select 0 as tree, * from nodes1 union all select 1 as tree, * from nodes2"}
+
+
+def _cross_validated_ctes(folds: int = 5) -> dict[str, str]:
+    """Every row with the class that the trees fitted without its fold give it."""
+    ctes, parts = dict(BOOST), []
+    for f in range(folds):
+        ctes |= _two_rounds(f"_{f}_", f"fold <> {f}", "select vec_id, y, fold from signs join folds using (vec_id)")
+        parts.append(f"""
+select vec_id, target, fold, cast(a.mean + 0.1::double * b.mean > 0 as int) as predicted
+from folds join said_{f}_1 a using (vec_id) join said_{f}_2 b using (vec_id) where fold = {f}""")
+    ctes["cv_called"] = " union all ".join(parts)
+    ctes["cv_scores"] = SPARSE["fold_scores"].replace("from called", "from cv_called")
+    return ctes
 
 
 def _daily(place: int, temperature: str) -> str:
@@ -354,9 +380,11 @@ def oracle_sql() -> dict[str, str]:
     return {
         "table_sizes": " union all ".join(f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in TABLES),
         "top_products": _sales("select item_nbr, total_units_sold from ranked where place <= 3", upto="ranked"),
+        "ranked_products": _sales("select item_nbr, total_units_sold, place from ranked", upto="ranked"),
         "nth_top_product": _sales("select item_nbr, total_units_sold from ranked where place = 2", upto="ranked"),
         "sales_weather_join": _sales("select * from joined", upto="joined"),
         "daily_units_and_temp": _sales(_daily(1, "try_cast(tavg as double)"), upto="ranked"),
+        "daily_units_placed": _sales(f"select *, row_number() over (order by date) as place from ({_daily(1, 'try_cast(tavg as double)')})", upto="ranked"),
         "daily_units_and_temp_untyped": _sales(_daily(2, "coalesce(try_cast(tavg as double), 0)"), upto="ranked"),
         "clean_precip": _sales("select item_nbr, store_nbr, date, station_nbr, preciptotal, tavg, year, month from clean",
                                upto="clean"),
@@ -389,17 +417,25 @@ from top_days where split = 'train' group by item_nbr""", upto="top_days"),
         "ols_coefficients": _sales(f"""select item_nbr, {terms}[i + 1] as variable, round(b, 4) as value from slopes where b is not null
 union all select item_nbr, '(Intercept)', round(b0, 4) from intercepts""", linear),
         "ols_metrics": _sales(linear_scores, linear),
+        # Few days make predictors depend on each other outright or not at all: the limit here is not the one of the fit.
+        "ols_status": _sales("""
+select item_nbr, n, case when n_defined = size then 'fitted' when n <= size then 'too few rows' else 'undefined coefficients' end as status, n_defined
+from (select item_nbr, count(*) as size, cast(count(*) filter (ok) as int) as n_defined from pivots group by item_nbr)
+join (select item_nbr, count(*) as n from fit_rows group by item_nbr) using (item_nbr)""", {"fit_rows": f"""
+select item_nbr, units as y, [{', '.join(f'cast({p} as double)' for p in PREDICTORS)}] as x
+from days where month(date) = 1 and day(date) <= item_nbr % 8 + 1"""} | _linear_ctes("1e-9"), upto="days"),
         "tree_root_split": _sales("""select item_nbr, n, round(mean, 4) as mean, feature, round(cut, 8) as cut,
   round(gain, 4) as gain from kept where feature is not null""", root),
         "tree_nodes": _sales(
             "select item_nbr, node, n, round(mean, 4) as mean, feature, round(cut, 8) as cut from kept", tree),
         "tree_metrics": _sales(tree_scores, tree),
         "model_comparison": _sales(f"{linear_scores}\nunion all\n{tree_scores}", linear, tree),
-        "impact_summary": _sales(f"""select item_nbr, '{LINEAR}' as model, {terms}[i + 1] as variable,
+        "impact_summary": _sales(f"""select *, row_number() over (order by item_nbr, model, metric_type, abs(value) desc, variable) as place from (
+select item_nbr, '{LINEAR}' as model, {terms}[i + 1] as variable,
   'Coefficient' as metric_type, round(b, 4) as value from slopes where b is not null
 union all
 select item_nbr, '{TREE}', feature, 'Importance', round(sum(gain), 4) from kept
-where feature is not null group by item_nbr, feature""", linear, tree),
+where feature is not null group by item_nbr, feature)""", linear, tree),
         "sparse_long": _sparse("select vec_id, risk, feature_number, value from long"),
         "sparse_wide": _sparse(_wide([f"feature_{i}" for i in range(N_FEATURES)])),
         "text_folder": _sparse("select line, risk, feature_number, value from long"),
@@ -416,6 +452,11 @@ where t = '' or not regexp_full_match(w[1], '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE
             f"coalesce(max(case when feature = {i} then value end), 0.0) as feature_{i}" for i in range(MESSY_FEATURES))
             + """, max(case when isnan(risk) then 0 else risk end) as risk_score,
   max(cast(not isnan(risk) and risk >= 0.3 as int)) as target
+from judged j left join cells using (vec_id) where problem is null group by j.vec_id"""),
+        "messy_observed": _with(MESSY, "select j.vec_id, " + ", ".join(
+            f'coalesce(max(case when feature = {i} then value end), 0.0) as "feature_{i}"' for i in (-1, *range(MESSY_FEATURES - 1), 9))
+            + """, max(case when isnan(risk) then 0 else risk end) as risk_score,
+  max(cast(not isnan(risk) and risk >= 0.3 as int)) as target
 from judged j left join cells using (vec_id) where problem is null group by j.vec_id"""),
         "filled_gaps": _with({"gappy": GAPPY_ORDERS_SQL}, """
 select case when price is null or isnan(price) then 0 else price end as price, 0.0::double as o_discount, o_orderkey
@@ -437,6 +478,8 @@ from orders""",
   cast(cast(concat('0x', substr(md5(line), 1, 8)) as bigint) % 5 as int) as fold from labels_"""),
         "fold_precision_recall": _sparse(
             "select fold, round(precision, 4) as precision, round(recall, 4) as recall from fold_scores"),
+        "gbt_cv_first_rounds": _sparse(
+            "select fold, round(precision, 4) as precision, round(recall, 4) as recall from cv_scores", _cross_validated_ctes()),
         "gbt_first_rounds": _sparse(
             "select tree, node, n, round(mean, 6) as mean, cast(feature as int) as feature, round(cut, 6) as cut from boosted", boost),
         "score_first_rounds": _sparse("""select vec_id, cast(a.mean + 0.1::double * b.mean > 0 as int) as predicted_risk_class

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfrisk.operators import cleaning as C
 from shelfrisk.operators import linear as L
 from shelfrisk.operators import metrics as M
+from shelfrisk.operators import ordered as O
 from shelfrisk.operators import profile as Q
 from shelfrisk.operators import sales as A
 from shelfrisk.operators import split as P
@@ -42,6 +43,12 @@ def top_products(spark: SparkSession, folder: str) -> DataFrame:
     return A.top_products(views.sales(spark, folder), TOP)
 
 
+def ranked_products(spark: SparkSession, folder: str) -> DataFrame:
+    """All products with their place by units."""
+    units = A.units_by_product(views.sales(spark, folder))
+    return O.placed(units, [F.desc("total_units_sold"), "item_nbr"])
+
+
 def nth_top_product(spark: SparkSession, folder: str) -> DataFrame:
     return A.nth_product(views.sales(spark, folder), 2)
 
@@ -58,6 +65,11 @@ def daily_units_and_temp_untyped(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(A.daily_units(*_inputs(spark, folder), n=2, non_numeric="zero"), ["avg_tavg"])
 
 
+def daily_units_placed(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of the best-selling product with their place by date."""
+    return O.placed(daily_units_and_temp(spark, folder), ["date"])
+
+
 def clean_precip(spark: SparkSession, folder: str) -> DataFrame:
     sales, stores, weather = _inputs(spark, folder)
     readings = C.clean_readings(weather.select("station_nbr", "date", "preciptotal", "tavg"))
@@ -107,7 +119,7 @@ def profile_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def column_listing(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.column_listing(A.joined_table(*_inputs(spark, folder)))
+    return Q.listing_of_join(*_inputs(spark, folder))
 
 
 def split_membership(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,6 +193,14 @@ def ols_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _linear_scores(days, _linear(days))
 
 
+def ols_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Why products have no linear model: each is fitted to so few days that flags are constant or rows too few for some."""
+    days = product_day(spark, folder).filter("month(date) = 1 and day(date) <= item_nbr % 8 + 1")
+    models = L.fit_linear(days, "item_nbr", "units", PREDICTORS)
+    defined = sum((F.col(f"b_{p}").isNotNull().cast("int") for p in PREDICTORS[1:]), F.col(f"b_{PREDICTORS[0]}").isNotNull().cast("int"))
+    return models.select("item_nbr", "n", "status", defined.alias("n_defined"))
+
+
 def tree_root_split(spark: SparkSession, folder: str) -> DataFrame:
     nodes = _tree(model_days(spark, folder), max_depth=1).nodes
     splits = nodes.filter(F.col("feature").isNotNull()).select("item_nbr", "n", "mean", "feature", "cut", "gain")
@@ -208,7 +228,7 @@ def comparison(days: DataFrame, linear: DataFrame, tree: R.TreeModel) -> DataFra
 
 
 def impact(linear: DataFrame, tree: R.TreeModel) -> DataFrame:
-    """Coefficients and importances per product, strongest first."""
+    """Coefficients and importances per product with their place: strongest first, equal ones by name."""
 
     def labelled(rows: DataFrame, model: str, kind: str) -> DataFrame:
         return rows.select("item_nbr", F.lit(model).alias("model"), "variable", F.lit(kind).alias("metric_type"),
@@ -216,7 +236,7 @@ def impact(linear: DataFrame, tree: R.TreeModel) -> DataFrame:
 
     both = labelled(L.coefficient_rows(linear, "item_nbr", TERM_NAMES), LINEAR, "Coefficient").unionByName(
         labelled(R.importance_rows(tree), TREE, "Importance"))
-    return _rounded(both, ["value"]).orderBy("item_nbr", "model", "metric_type", F.desc(F.abs("value")))
+    return O.placed(_rounded(both, ["value"]), ["item_nbr", "model", "metric_type", F.desc(F.abs("value")), "variable"])
 
 
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,9 +257,9 @@ def _rounded(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-QUERIES = [table_sizes, top_products, nth_top_product, sales_weather_join, daily_units_and_temp,
-           daily_units_and_temp_untyped, clean_precip, match_counts, station_month_medians,
+QUERIES = [table_sizes, top_products, ranked_products, nth_top_product, sales_weather_join, daily_units_and_temp,
+           daily_units_placed, daily_units_and_temp_untyped, clean_precip, match_counts, station_month_medians,
            impute_station_month, cap_units_p99, weather_flags, product_day,
            first_product_days, profile_joined, column_listing, split_membership, exact_split_membership, units_by_flag,
-           units_by_flag_chosen, temp_trend, ols_coefficients, ols_metrics, tree_root_split, tree_nodes, tree_metrics,
+           units_by_flag_chosen, temp_trend, ols_coefficients, ols_metrics, ols_status, tree_root_split, tree_nodes, tree_metrics,
            model_comparison, impact_summary]

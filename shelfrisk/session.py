@@ -17,9 +17,10 @@ TASK_ROWS = 1_000_000
 # Up to this many rows, working a result out again is cheaper than storing it.
 CHEAP_ROWS = 200_000
 
+# Bytes of values that lists hold more tightly than rows.
+_IN_LISTS = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 _STORED: list[str] = []
 _SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
-_WIDTHS = {T.StringType: 40, T.BooleanType: 1, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -38,16 +39,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, **totals: Column) -> DataFrame:
     """Compute `df` once, keep it as a table in the checkpoint folder and forget how it was made.
 
-    A lost executor loses nothing, and later plans see the true file size. Its rows, and any
-    `totals` asked for, are added up on the way: see `row_count` and `total_of`.
+    A lost executor loses nothing, and later plans see the true file size. Its rows and their bytes, and any
+    `totals` asked for, are added up on the way: see `row_count`, `table_bytes` and `total_of`.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/shelfrisk-{uuid.uuid4().hex}"
     _STORED.append(path)
     seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in totals.items()])
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(long_bytes(df.schema)), F.lit(0)).alias("long_bytes"),
+                         *[c.alias(n) for n, c in totals.items()])
     watched.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    _SEEN[table] = seen.get
+    _SEEN[table] = seen.get | {"path": path}
     return table
 
 
@@ -72,28 +74,84 @@ def row_count(df: DataFrame) -> int:
     return _SEEN[df]["rows"] if df in _SEEN else df.count()
 
 
+def stored_as(table: DataFrame, schema: T.StructType) -> DataFrame:
+    """A table that `materialise` returned, read with another schema of the same files."""
+    other = table.sparkSession.read.schema(schema).parquet(_SEEN[table]["path"])
+    _SEEN[other] = _SEEN[table]
+    return other
+
+
 def total_of(table: DataFrame, name: str):
     """One of the `totals` given to `materialise`."""
     return _SEEN[table][name]
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """Rough width of one row in memory."""
-    return 24 + sum(_WIDTHS.get(type(field.dataType), 8) for field in schema)
+    """Bytes of one row in memory without its texts, lists and maps."""
+    return 24 + 8 * len(schema)
+
+
+def long_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's texts, lists and maps, measured."""
+    total = F.lit(0).cast("long")
+    for field in schema:
+        size = _value_bytes(F.col("`" + field.name.replace("`", "``") + "`"), field.dataType)
+        if size is not None:
+            total = total + F.coalesce(size.cast("long"), F.lit(0))
+    return total
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column | None:
+    """Bytes of one value; None if all values of its type are equally wide."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.octet_length(value) + 8
+    if isinstance(kind, T.ArrayType):
+        inner = _value_bytes(F.lit(None).cast(kind.elementType), kind.elementType)
+        if inner is None:
+            return F.size(value) * _IN_LISTS.get(type(kind.elementType), _flat_width(kind.elementType)) + 16
+        return F.aggregate(value, F.lit(16).cast("long"), lambda total, x: total + 8 + F.coalesce(
+            _value_bytes(x, kind.elementType).cast("long"), F.lit(0)))
+    if isinstance(kind, T.MapType):
+        keys = _value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        parts = [(f, _value_bytes(value.getField(f.name), f.dataType)) for f in kind]
+        total = F.lit(_flat_width(kind))
+        for _, size in parts:
+            if size is not None:
+                total = total + F.coalesce(size, F.lit(0))
+        return total
+    return None
+
+
+def _flat_width(kind: T.DataType) -> int:
+    return 16 + 8 * len(kind) if isinstance(kind, T.StructType) else 8
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of all rows in memory, measured; free for a table that `materialise` returned, else one pass."""
+    if df in _SEEN:
+        rows, extra = _SEEN[df]["rows"], _SEEN[df]["long_bytes"]
+    else:
+        rows, extra = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(long_bytes(df.schema)), F.lit(0))).first()
+    return rows * row_bytes(df.schema) + extra
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int | None = None) -> DataFrame:
-    """`df` with a broadcast hint if its counted rows fit `max_bytes`, else `df` unchanged.
+    """`df` with a broadcast hint if its measured bytes fit `max_bytes`, else `df` unchanged.
 
-    Without the hint Spark shuffles both sides and splits skewed partitions at run time. Best given
-    a materialised table or an upper bound on its `rows`; any other is read once more for the count.
+    Without the hint Spark shuffles both sides and splits skewed partitions at run time. Best given a materialised table;
+    any other is read once more to measure it, unless an upper bound on its `rows` is known and all its columns
+    are of fixed width.
     """
     return F.broadcast(df) if fits_broadcast(df, max_bytes, rows) else df
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows: int | None = None) -> bool:
-    rows = row_count(df) if rows is None else rows
-    return rows * row_bytes(df.schema) <= max_bytes
+    fixed = all(_value_bytes(F.lit(None).cast(f.dataType), f.dataType) is None for f in df.schema)
+    if rows is not None and fixed:
+        return rows * row_bytes(df.schema) <= max_bytes
+    return table_bytes(df) <= max_bytes
 
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

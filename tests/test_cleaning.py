@@ -167,14 +167,25 @@ def test_medians_come_from_all_products(shop):
     assert sorted(map(str, part)) == sorted(map(str, whole))
 
 
-def test_counted_sales_give_the_days_of_single_sales(shop):
+def test_tallies_count_joined_rows(shop):
+    """Also where a station and day has two readings."""
     sales, stores, weather = shop
-    single = A.product_days(A.capped_sales(sales, stores, weather))
-    assert rounded(A.product_day_table(sales, stores, weather)) == rounded(single)
-
-
-def test_product_days_read_the_sales_once(spark, shop):
+    twice = weather.unionByName(weather.filter("station_nbr = 10 and day(date) = 3"))
+    joined = A.with_readings(sales, stores, twice)
+    days = twice.groupBy("station_nbr", "date").agg(F.count(F.lit(1)).alias("n_readings"))
+    per_day, units = A.sale_tallies(sales, stores, days)
+    assert sorted(map(tuple, units.collect())) == sorted(map(tuple, joined.groupBy("item_nbr", "units").count().collect()))
+    single = A.with_readings(sales, stores, weather).groupBy("station_nbr", "date").count()
+    assert sorted(map(tuple, per_day.collect())) == sorted(map(tuple, single.collect()))
+    chosen = A.materialise(A.top_products(sales, 1))
+    some_day, some = A.sale_tallies(sales, stores, days, chosen)
+    assert sorted(map(tuple, some_day.collect())) == sorted(map(tuple, per_day.collect()))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, units.join(chosen, "item_nbr", "left_semi").collect()))
+
+
+def test_product_days_read_the_sales_twice_and_store_no_copy(spark, shop):
     sales, stores, weather = shop
+    sales = A.materialise(sales.withColumn("item_nbr", F.col("item_nbr") % 2))
     read = spark.sparkContext.accumulator(0)
 
     @F.udf("double")
@@ -182,8 +193,13 @@ def test_product_days_read_the_sales_once(spark, shop):
         read.add(1)
         return units
 
-    A.product_day_table(sales.withColumn("units", watched("units")), stores, weather).collect()
+    before = len(SS._STORED)
+    table = A.product_day_table(sales.withColumn("units", watched("units")), stores, weather)
     assert read.value == sales.count()
+    stored = sum(spark.read.parquet(path).count() for path in SS._STORED[before:])
+    table.collect()
+    assert read.value == 2 * sales.count()
+    assert stored < sales.count()
 
 
 def test_daily_units(spark, shop):
@@ -219,6 +235,30 @@ def test_profile_of_join_equals_profile_of_joined_rows(spark, shop):
     assert rounded(Q.profile_join(sales, stores, weather)) == rounded(Q.profile(joined))
 
 
+def test_profile_reads_its_input_once(spark, shop):
+    sales, _, _ = shop
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def watched(units):
+        read.add(1)
+        return units
+
+    mixed = sales.select(watched("units").alias("units"), "item_nbr", F.col("date").cast("string").alias("t"))
+    assert Q.profile(mixed).count() == 3 and read.value == sales.count()
+
+
+def test_listing_of_join_equals_listing_of_joined_rows(spark, shop):
+    sales, stores, weather = shop
+    for c in A.READINGS:
+        if c not in weather.columns:
+            weather = weather.withColumn(c, F.when(F.day("date") != 3, F.lit(1.5)))
+    sales = sales.unionByName(sales.limit(20).withColumns({"units": F.lit(None).cast("double"), "item_nbr": F.lit(None).cast("int")}))
+    weather = weather.unionByName(weather.filter("day(date) = 4"))
+    joined = A.joined_table(sales, stores, weather)
+    assert sorted(map(tuple, Q.listing_of_join(sales, stores, weather).collect())) == sorted(map(tuple, Q.column_listing(joined).collect()))
+
+
 def test_splits(spark):
     rows = spark.range(1000).withColumnRenamed("id", "k")
     split = P.random_split(rows, ["k"]).groupBy("split").count()
@@ -270,5 +310,38 @@ def test_folds_of_many_classes(spark):
 
 def test_classes_dealt_over_tasks(spark):
     sizes = spark.range(40).selectExpr("id as target", "id % 7 as rows")
-    one, many = (P._class_bounds(sizes_, "target", 5, rows) for sizes_, rows in ((P.materialise(sizes), 1000), (P.materialise(sizes), 6)))
+    one, many = (P._class_bounds(sizes, "target", 5, 40, rows) for rows in (1000, 6))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_splits_read_their_input_once_or_twice(spark):
+    rows = spark.range(2000).selectExpr("id as k", "id % 3 as target")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def watched(k):
+        read.add(1)
+        return k
+
+    P.stratified_folds(rows.withColumn("k", watched("k")), "target", "k").collect()
+    assert read.value == 2000
+    stored = P.materialise(rows)
+    folds = P.stratified_folds(stored, "target", "k", task_rows=2)
+    assert sorted(map(str, folds.collect())) == sorted(map(str, P.stratified_folds(rows, "target", "k").collect()))
+    read.value = 0
+    P.exact_split(rows.withColumn("k", watched("k")), ["k"]).collect()
+    assert read.value == 4000
+
+
+@pytest.mark.parametrize("task_rows", [10**6, 7])
+def test_places_in_a_total_order(spark, task_rows):
+    """Ties, missing values and a value that half of the rows share."""
+    pick = random.Random(2)
+    rows = [(pick.choice([None, 1, 2, 2, 2, 3]), pick.choice(["a", "b", None]), i) for i in range(300)] + [(7, "same", 1)] * 300
+    df = spark.createDataFrame(rows, "x int, t string, i int").repartition(5)
+    got = O.placed(df, [F.desc("x"), "t"], task_rows=task_rows).collect()
+    assert sorted(r.place for r in got) == list(range(1, 601))
+    order = [(r.x, r.t) for r in sorted(got, key=lambda r: r.place)]
+    assert order == sorted(order, key=lambda p: (p[0] is None, -(p[0] or 0), p[1] is not None, p[1] or ""))
+    assert sorted((r.x or 0, r.t or "", r.i) for r in got) == sorted((x or 0, t or "", i) for x, t, i in rows)
+    assert O.placed(df.limit(0), ["x"]).count() == 0

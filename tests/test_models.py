@@ -55,6 +55,44 @@ def test_undefined_predictors(spark):
         assert (r["b_a"], r["b_b"]) == pytest.approx((two[r["item"]]["b_a"], two[r["item"]]["b_b"]))
 
 
+def test_nearly_equal_predictors_are_told_apart(spark):
+    """5e-7 of a column is left by the one before it: above the limit, and far below what sums of products would keep."""
+    pick = np.random.default_rng(3)
+    a = pick.normal(size=400) + 3
+    b = a + 5e-7 * pick.normal(size=400) * np.linalg.norm(a) / 20
+    y = 2 * a + 1e6 * (b - a) + pick.normal(size=400)
+    rows = [(1, float(v), float(p), float(q), 0.0) for v, p, q in zip(y, a, b)]
+    rows += [(2, float(v), float(p), float(p * (1 + 1e-9 * (i % 2))), 0.0) for i, (v, p) in enumerate(zip(y, a))]
+    df = frame(spark, rows).repartition(7)
+    models = {r["item"]: r for r in L.fit_linear(df, "item", "y", ["a", "b"]).collect()}
+    assert models[1]["status"] == "fitted" and models[2]["status"] == "undefined coefficients"
+    design = np.column_stack([np.ones(400), a, b])
+    expected = np.linalg.lstsq(design, y, rcond=None)[0]
+    assert [models[1]["intercept"], models[1]["b_a"], models[1]["b_b"]] == pytest.approx(expected, rel=1e-6)
+    assert models[2]["b_b"] is None and models[2]["b_a"] == pytest.approx(np.linalg.lstsq(design[:, :2], y, rcond=None)[0][1])
+
+
+def test_status_of_each_group(spark):
+    rows = noise(5, 40) + [(2, *r[1:]) for r in noise(6, 3)] + [(3, y, a, b, 1.0) for _, y, a, b, _ in noise(7, 30)]
+    rows += [(4, y, a, None, c) for _, y, a, _, c in noise(8, 20)] + [(5, *r[1:]) for r in noise(9, 4)]
+    models = L.fit_linear(frame(spark, rows).repartition(5), "item", "y", X)
+    assert {r["item"]: (r["n"], r["status"]) for r in models.collect()} == {
+        1: (40, "fitted"), 2: (3, "too few rows"), 3: (30, "undefined coefficients"), 4: (20, "missing values"), 5: (4, "fitted")}
+
+
+def test_many_groups_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(L, "HELD_GROUPS", 3)
+    rows = [(item, *r[1:]) for item in range(20) for r in noise(item, 12)]
+    random.Random(1).shuffle(rows)
+    models = {r["item"]: r for r in L.fit_linear(frame(spark, rows).coalesce(1), "item", "y", X).collect()}
+    for item in range(20):
+        part = np.array([r[1:] for r in rows if r[0] == item])
+        design = np.column_stack([np.ones(12), part[:, 1:]])
+        if np.linalg.matrix_rank(design) == 4:
+            got = [models[item]["intercept"], *[models[item][f"b_{p}"] for p in X]]
+            assert got == pytest.approx(np.linalg.lstsq(design, part[:, 0], rcond=None)[0], abs=1e-8)
+
+
 def test_regression_scores(spark):
     rows = [(1, 2.0, 1.0), (1, 2.0, 5.0), (2, 1.0, 2.0), (2, 3.0, 3.0)]
     predicted = spark.createDataFrame(rows, "item int, y double, p double")
@@ -118,11 +156,11 @@ class Brute:
         return self.kept[node][1]
 
 
-@pytest.mark.parametrize("cp,task_rows", [(0.0001, 1_000_000), (0.02, 30)])
-def test_trees_match_brute_force(spark, cp, task_rows):
+@pytest.mark.parametrize("cp,task_rows,node_tuples", [(0.0001, 1_000_000, 50_000), (0.02, 1_000_000, 50_000), (0.02, 30, 40), (0.0001, 1_000_000, 5)])
+def test_trees_match_brute_force(spark, cp, task_rows, node_tuples):
     rows = noise(7, 260) + noise(8, 90, item=2) + noise(9, 12, item=3)
     df = frame(spark, rows)
-    model = R.fit_trees(df, "item", "y", X, cp=cp, task_rows=task_rows)
+    model = R.fit_trees(df, "item", "y", X, cp=cp, task_rows=task_rows, node_tuples=node_tuples)
     walked = R.predict_trees(df, model)
     by_level = R.predict_trees(df, model, tree_nodes=0)
     assert sorted(map(str, walked.collect())) == sorted(map(str, by_level.collect()))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfrisk.operators import boosting as B
 from shelfrisk.operators import schema as H
 from shelfrisk.operators import sparse as Z
+from shelfrisk.session import materialise, table_bytes
 from shelfrisk.sources import files
 
 LINES = ["0.57 12:1 19:1 junk 22:4 12:9", "0.3", "0.29 1:1", "nan 1:2", "0.1 500:7", "0.2 3:nan 5:1:9", "\t0.4\t2:1  "]
@@ -109,15 +110,15 @@ def test_classifier(spark, tmp_path):
     rows = B.stored_rows(B.training_rows(Z.accepted(Z.parse_lines(records)), ["k"], 3).withColumn("fold", (F.col("k") % 4).cast("int")))
     scores = B.fold_scores(rows, "fold", k=4, maxIter=3).collect()
     assert len(scores) == 4 and all(r["precision"] == r["recall"] == 1.0 for r in scores)
-    model = B.fit(rows, maxIter=3)
-    top = [r["feature"] for r in B.top_importances(spark, model, ["a.x", "b", "c"], 2).collect()]
+    model = B.RiskModel(B.fit(rows, maxIter=3), ["a.x", "b", "c"])
+    top = [r["feature"] for r in B.top_importances(spark, model, 2).collect()]
     assert len(top) == 2 and top[0] == "a.x"
     B.save_model(model, str(tmp_path / "model"))
     wide = spark.createDataFrame([(0, 1, 2, 3), (1, 0, 2, 3)], "k int, `a.x` int, b int, c int")
     loaded = B.load_model(str(tmp_path / "model"))
-    first = B.score(wide, model, ["a.x", "b", "c"], keep=["k"]).orderBy("k").collect()
+    first = B.score(wide, model, keep=["k"]).orderBy("k").collect()
     assert [tuple(r) for r in first] == [(0, 1), (1, 0)]
-    assert B.score(wide, loaded, ["a.x", "b", "c"], keep=["k"]).orderBy("k").collect() == first
+    assert B.score(wide, loaded, keep=["k"]).orderBy("k").collect() == first
     assert B.classifier().getMaxIter() == 100 and B.classifier().getSeed() == 42
 
 
@@ -127,10 +128,57 @@ def test_full_width_scoring(spark, tmp_path):
     rows = [(i, i % 2, *[rng.randrange(4) + 5 * (i % 2) * (j == 7) for j in range(483)]) for i in range(60)]
     table = spark.createDataFrame(rows, ["k", "target", *names])
     vectors = B.wide_rows(table, names, ["k", "target"]).withColumn("label", F.col("target").cast("double"))
-    B.save_model(GBTClassifier(maxIter=2, maxDepth=2).fit(vectors), str(tmp_path / "model"))
-    model = B.load_model(str(tmp_path / "model"))
-    scored = B.score(table.drop("target"), model, names, keep=["k"]).collect()
+    B.save_model(B.RiskModel(GBTClassifier(maxIter=2, maxDepth=2).fit(vectors), names, 0.5), str(tmp_path / "model"))
+    model = B.load_model(str(tmp_path / "model"), names)
+    assert (model.columns, model.threshold) == (names, 0.5)
+    scored = B.score(table.drop("target"), model, keep=["k"]).collect()
     assert {r.k: r.predicted_risk_class for r in scored} == {i: i % 2 for i in range(60)}
     holed = table.drop("target").withColumn(names[0], F.when(F.col("k") != 3, H.quoted(names[0])))
     with pytest.raises(Exception, match="missing values"):
-        B.score(holed, model, names, keep=["k"]).collect()
+        B.score(holed, model, keep=["k"]).collect()
+
+
+def test_model_folder_refuses_other_columns(spark, tmp_path):
+    rows = spark.createDataFrame([(i, i % 2, i % 2, i % 3) for i in range(40)], "k int, target int, `a.x` int, b int")
+    vectors = B.wide_rows(rows, ["a.x", "b"], ["target"]).withColumn("label", F.col("target").cast("double"))
+    path = str(tmp_path / "model")
+    classifier = GBTClassifier(maxIter=1, maxDepth=1).fit(vectors)
+    B.save_model(B.RiskModel(classifier, ["a.x", "b"]), path)
+    for other in (["b", "a.x"], ["a.x"], ["a.x", "b", "c"], ["a.x", "c"]):
+        with pytest.raises(ValueError, match="other columns"):
+            B.load_model(path, other)
+        with pytest.raises(ValueError, match="features"):
+            B.RiskModel(classifier, [*other, "more", "more"])
+    model = B.load_model(path, ["a.x", "b"])
+    with pytest.raises(ValueError, match="expected 2 feature columns"):
+        B.score(rows.select("k", "b", "`a.x`"), model, keep=["k"])
+    with pytest.raises(ValueError, match="must not hold"):
+        B.score(rows, model, keep=["k"])
+    assert {r.predicted_risk_class for r in B.score(rows.drop("target"), model, keep=["k"]).collect()} == {0, 1}
+
+
+def test_training_rows_are_stored_sparse(spark):
+    """Records of about 27 of 483 features take a fraction of their wide form, and hold the same vectors."""
+    rng = random.Random(3)
+    lines = [(i, f"0.{i % 10} " + " ".join(f"{j}:{rng.randrange(1, 9)}" for j in sorted(rng.sample(range(483), 27))) + " 999:1 4:nan") for i in range(500)]
+    records = Z.accepted(Z.parse_lines(spark.createDataFrame(lines, "k long, line string")))
+    rows = B.stored_rows(B.training_rows(records, ["k"]))
+    wide = Z.wide(records, ["k"]).drop("risk_score")
+    flat = {r[0]: list(r)[1:-1] for r in wide.collect()}
+    got = rows.collect()
+    assert all(r.features.toArray().tolist() == flat[r.k] and len(r.features.values) <= 27 and r.features.size == 483 for r in got)
+    dense = materialise(Z.dense(Z.labelled(records)).select("k", "target", "values"))
+    assert table_bytes(materialise(B.training_rows(records, ["k"]))) < table_bytes(dense) / 8
+
+
+def test_observed_features(spark):
+    lines = Z.accepted(parsed(spark, ["0.1 5:1 -3:2", "0.9 40000:1 5:nan 7:1", "0.5", "0.3 2147483647:1 -2147483648:4"]))
+    numbers = [-2147483648, -3, 5, 7, 40000, 2147483647]
+    assert Z.observed_features(lines) == numbers
+    wide = Z.wide_observed(lines, ["line"])
+    assert wide.columns == ["line", *[f"feature_{i}" for i in numbers], "risk_score", "target"]
+    assert {tuple(r)[1:] for r in wide.collect()} == {(0, 2, 1, 0, 0, 0, 0.1, 0), (0, 0, 0, 1, 1, 0, 0.9, 1), (0, 0, 0, 0, 0, 0, 0.5, 1),
+                                                     (4, 0, 0, 0, 0, 1, 0.3, 1)}
+    assert Z.observed_features(lines.limit(0)) == []
+    with pytest.raises(ValueError, match="at most 3"):
+        Z.observed_features(lines, most=3)

@@ -36,6 +36,19 @@ def test_broadcast_needs_a_fitting_size(spark):
     assert SS.broadcast_if_small(table, max_bytes=100) is table
 
 
+def test_broadcast_measures_long_values(spark):
+    """20,000 rows of 5,000 characters are 100 MB, however few the columns."""
+    texts = spark.range(20_000).select("id", F.repeat(F.lit("x"), 5000).alias("text"))
+    assert not SS.fits_broadcast(texts, rows=20_000) and not SS.fits_broadcast(SS.materialise(texts.limit(20_000)))
+    assert SS.fits_broadcast(texts.limit(100)) and SS.fits_broadcast(texts.drop("text"), rows=20_000)
+    lists = spark.range(10).select(F.array_repeat(F.lit(1.5), 1000).alias("v"), F.create_map(F.lit("key"), F.lit("value")).alias("m"),
+                                   F.struct(F.lit("abc").alias("s"), F.lit(1).alias("i")).alias("p"), F.lit(None).cast("string").alias("none"),
+                                   F.array(F.array(F.lit("abcd"))).alias("deep"))
+    for table in (lists, SS.materialise(lists)):
+        assert 10 * 8000 < SS.table_bytes(table) < 10 * 8400
+    assert SS.table_bytes(lists.limit(0)) == 0
+
+
 def test_null_keys_match(spark):
     left = spark.createDataFrame([(None, 1), (2, 2), (3, 3)], "k int, v int")
     right = spark.createDataFrame([(None, "n"), (2, "t")], "k int, w string")
