@@ -5,8 +5,9 @@ shingles of one task. A pair can only reach the bound if it meets in the first n
 in any fixed order, so only these rows enter the product; frequent shingles come last in the order. Equal sets
 are one row. Two products are made. The first takes, per shingle, only the set with the fewest rarer shingles as
 partner, the centre of a group of near copies, and so joins most of the group at once. The second takes all pairs
-whose ends are still in different components. Both add up the overlap of a pair over the shingles of a block, drop pairs
-that by their sizes and the place of the shingle cannot reach the bound, and verify what is left on whole sets.
+whose ends are still in different components and adds up their overlap: the shingles counted so far and all that may follow
+the last common one must reach the bound. Both drop pairs that by their sizes and the place of a shingle cannot reach it, and
+verify what is left on whole sets.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfrisk.llm import passages as P
 from shelfrisk.llm.components import components
-from shelfrisk.session import materialise
+from shelfrisk.session import materialise, row_count
 
 BUCKETS = 1 << 18  # of the table of shingle counts; it only orders shingles, so shared buckets cost time, not links
 SHIFT = np.uint64(64 - 18)
@@ -119,6 +120,12 @@ def reachable(n_a, place_a, n_b, place_b, percent: int):
     return (spare_a >= 0) & (spare_b >= 0) & (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a)
 
 
+def enough(overlap, n_a, last_a, n_b, last_b, percent: int, least=min):
+    """Whether sets of these sizes can reach the bound: `overlap` common shingles up to the last common one, at these places, and
+    at most all that follows it."""
+    return (overlap + least(n_a - last_a, n_b - last_b) - 1) * (100 + percent) >= percent * (n_a + n_b)
+
+
 def shared_rows(rows: DataFrame, percent: int) -> DataFrame:
     """(shingle, signature, n, place, pivot) of shingles that at least two sets have. pivot: the set with the fewest rarer
     shingles, or the set itself if the two cannot reach the bound. Rows stream by in order, so no group is held."""
@@ -189,7 +196,11 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     owners = (sets.filter("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
               .join(shared.select("signature").distinct(), "signature"))
     marked = documents.filter("doc_id is not null")
-    texts = materialise(marked.join(owners, "doc_id").mapInArrow(_own_text(words), "signature long, text string"))
+    owned = marked.join(owners, "doc_id").mapInArrow(_own_text(words), "signature long, text string")
+    texts = materialise(owned)
+    if texts.select("signature").distinct().count() < row_count(texts):
+        # One text per set: a repeated doc_id brings as many, and would make as many pairs times as many.
+        texts = materialise(texts.groupBy("signature").agg(F.any_value("text").alias("text")))
 
     pairs = shared.filter("pivot != signature").select(F.col("pivot").alias("a"), F.col("signature").alias("b")).distinct()
     stars = materialise(verified(pairs, texts, words, percent))
@@ -204,7 +215,9 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     products = (left.join(right, "shingle")
                 .filter((F.col("component_a") < F.col("component_b"))
                         & reachable(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent))
-                .groupBy(F.col("signature_a").alias("a"), F.col("signature_b").alias("b")).agg(F.count(F.lit(1)).alias("overlap"))
+                .groupBy(F.col("signature_a").alias("a"), F.col("signature_b").alias("b"), "n_a", "n_b")
+                .agg(F.count(F.lit(1)).alias("overlap"), F.max("place_a").alias("last_a"), F.max("place_b").alias("last_b"))
+                .filter(enough(F.col("overlap"), F.col("n_a"), F.col("last_a"), F.col("n_b"), F.col("last_b"), percent, F.least))
                 .select("a", "b"))
     more = verified(products, texts, words, percent)
     final = components(stars.union(more)).withColumnRenamed("id", "signature")

@@ -70,6 +70,30 @@ def test_repeated_and_missing_ids(spark):
     assert got == [(0, 2, 3), (3, 2, 3), (7, 2, 3), (7, 2, 3), (9, 0, 9)]
 
 
+def test_many_texts_and_rows_under_one_id(spark):
+    """A repeated id makes neither wrong links nor pairs times repeats."""
+    rng = random.Random(9)
+    base = words(rng, 60)
+    near = [*base[:30], "edited", *base[31:]]
+    rows = [(1, " ".join(base)), (2, " ".join(near))] * 40 + [(1, " ".join(words(rng, 50))) for _ in range(40)]
+    got = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.component_id for r in got} == {1} and len(got) == len(rows)
+
+
+def test_overlap_bound_loses_no_pair():
+    """Any two sets that reach the bound pass with the common shingles of their prefixes counted."""
+    rng = random.Random(4)
+    for _ in range(3000):
+        percent = rng.choice([50, 80, 85])
+        a = sorted(rng.sample(range(40), rng.randrange(1, 30)))
+        b = sorted(set(a) - set(rng.sample(a, min(len(a) - 1, rng.randrange(4)))) | set(rng.sample(range(40), rng.randrange(4))))
+        both = len(set(a) & set(b))
+        first = [s[:len(s) - -(-percent * len(s) // 100) + 1] for s in (a, b)]
+        common = sorted(set(first[0]) & set(first[1]))
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            assert common and jaccard.enough(len(common), len(a), a.index(common[-1]), len(b), b.index(common[-1]), percent)
+
+
 def test_empty_table(spark):
     assert jaccard.similar_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
