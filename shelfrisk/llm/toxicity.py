@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from shelfrisk.llm.langid import held_out
 from shelfrisk.llm.passages import slices
+from shelfrisk.session import materialise
 
 TOKEN = re.compile(r"[^\W_]+")
 CONTEXT = 80  # characters on each side of a hit in which its quotation marks are looked for
@@ -27,7 +28,10 @@ NEAR = 200  # characters within which hits are counted as one outburst
 # Opening and closing quotation marks.
 QUOTES = [('"', '"'), ("“", "”"), ("„", "“"), ("«", "»"), ("‘", "’")]
 QUOTED = re.compile("|".join(f"{a}[^{b}\n]{{1,{2 * CONTEXT}}}{b}" for a, b in QUOTES))
-SHORTEST_STEM, FUZZY_FROM, LONGEST_TERM = 3, 5, 24
+SHORTEST_STEM, FUZZY_FROM = 3, 5
+LONGEST_STEM = 24  # letters; longer words are learned whole
+MOST_WORDS = 100_000  # whose matches a task remembers
+MOST_STATES = 20_000  # of the automaton that a task holds; beyond that it forgets them and builds them again as needed
 PLAIN, FUZZY_WORD, FUZZY_STEM = 1, 2, 3
 
 
@@ -50,6 +54,10 @@ class Lexicon:
                         self.deep.append(self.deep[node] + 1)
                     node = self.children[node][letter]
                 self.ends[node] |= kind
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to the first state; the others follow when they are reached."""
         self.states: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.verdicts: list[tuple[int, int]] = []
@@ -100,6 +108,8 @@ class Lexicon:
 
     def match(self, word: str) -> int:
         """PLAIN, FUZZY_WORD, FUZZY_STEM or 0."""
+        if len(self.states) > MOST_STATES:
+            self.forget()
         state = best = 0
         for letter in word:
             to = self.moves[state].get(letter)
@@ -135,8 +145,9 @@ def features(text: str, lexicon: Lexicon, cache: dict[str, int]) -> list[float]:
         kind = cache.get(word)
         if kind is None:
             kind = lexicon.match(word)
-            if len(cache) < 200_000:
-                cache[word] = kind
+            if len(cache) >= MOST_WORDS:
+                cache.clear()
+            cache[word] = kind
         if kind:
             hits[word] = kind
     if not hits:
@@ -165,11 +176,10 @@ def term_counts(labelled: DataFrame) -> DataFrame:
                 for text, label in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
                     words = TOKEN.findall(QUOTED.sub(" ", text.lower()))
                     if not label:
-                        clean.update(w for w in words if len(w) <= LONGEST_TERM)
+                        clean.update(words)
                         continue
                     for before, word, after in zip(["", *words], words, [*words[1:], ""]):
-                        if len(word) <= LONGEST_TERM:
-                            toxic.add((word, zlib.crc32(f"{before} {after}".encode())))
+                        toxic.add((word, zlib.crc32(f"{before} {after}".encode())))
                 rows = [(w, None, n) for w, n in clean.items()] + [(w, c, 0) for w, c in toxic]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64()))],
@@ -179,26 +189,26 @@ def term_counts(labelled: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.count_distinct("context").alias("toxic"), F.sum("n").alias("clean")))
 
 
-def learn_terms(labelled: DataFrame, least_evidence: float = 15.0, precision: float = 0.8,
-                most: int = 20_000) -> tuple[list[str], list[str]]:
+def learn_terms(labelled: DataFrame, least_evidence: float = 15.0, precision: float = 0.8) -> tuple[list[str], list[str]]:
     """(words, stems) that mark toxic texts: at least `precision` of their uses are in toxic texts, which beats
-    chance by `least_evidence` nats. The `most` best beginnings of words are looked at."""
+    chance by `least_evidence` nats. Beginnings of up to LONGEST_STEM letters and whole words are looked at."""
     words = term_counts(labelled)
     totals = words.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     if not totals.toxic or not totals.clean:
         return [], []
     share = totals.toxic / (totals.toxic + totals.clean)
-    begins = words.select("word", "toxic", "clean", F.explode(F.sequence(F.lit(SHORTEST_STEM), F.greatest(F.length("word"), F.lit(SHORTEST_STEM)))).alias("n"))
+    ends = F.sequence(F.lit(SHORTEST_STEM), F.greatest(F.least(F.length("word"), F.lit(LONGEST_STEM)), F.lit(SHORTEST_STEM)))
+    begins = words.select("word", "toxic", "clean", F.explode(F.array_union(ends, F.array(F.length("word")))).alias("n"))
     stems = (begins.filter(f"length(word) >= {SHORTEST_STEM}")
              .groupBy(F.substring("word", F.lit(1), F.col("n")).alias("stem"))
              .agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"), F.sum(F.when(F.length("word") == F.col("n"), F.col("toxic"))).alias("whole")))
     rate = F.col("a") / (F.col("a") + F.col("b"))
     evidence = (F.col("a") * F.log(rate / share)
                 + F.when(F.col("b") > 0, F.col("b") * F.log((1 - rate) / (1 - share))).otherwise(0.0))
+    # So much evidence takes several of the labelled texts, whose number is bounded.
     found = (stems.filter("a > 0").withColumn("evidence", evidence)
-             .filter((rate >= precision) & (F.col("evidence") >= least_evidence))
-             .orderBy(F.desc("evidence"), "stem").limit(most).collect())
-    known = {r.stem: r for r in found}
+             .filter((rate >= precision) & (F.col("evidence") >= least_evidence)).collect())
+    known = {r.stem: r for r in sorted(found, key=lambda r: (-r.evidence, r.stem))}
     children: dict[str, list[str]] = {}
     for stem in known:
         children.setdefault(stem[:-1], []).append(stem)
@@ -258,12 +268,14 @@ def _featured(docs: DataFrame, words: list[str], stems: list[str], carry: list[s
 
 def train(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Model:
     """Learn from at most `most_labels` labelled documents, picked by a hash of doc_id, none of them held out.
-    A document labelled twice is toxic if any label says so."""
+    A document labelled twice is toxic if any label says so; of several texts under one doc_id one counts."""
     usable = (labels.filter(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     chosen = usable.orderBy(F.xxhash64("label_id"), "label_id").limit(most_labels)
-    labelled = (docs.select("doc_id", "text").filter("text is not null")
-                .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")))  # at most most_labels small rows
+    # At most most_labels small rows, and as many texts: repeated ones are reduced before they move.
+    labelled = (docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+                .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")))
+    labelled = materialise(labelled)
     words, stems = learn_terms(labelled)
     rows = _featured(labelled, words, stems, ["toxic"]).select("features", "carried.toxic").collect()
     if not rows:
