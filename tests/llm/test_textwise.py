@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -126,6 +128,28 @@ def test_automaton_is_edit_distance(word):
         assert (got > 0) == (min(near) <= 1)
 
 
+def test_automaton_forgets_states_and_matches_the_same(monkeypatch):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 12))) for _ in range(400)]
+    free, tight = (toxicity.Lexicon(words[:60], words[60:80]) for _ in range(2))
+    expected = [free.match(w) for w in words + words]
+    monkeypatch.setattr(toxicity, "MOST_STATES", 50)
+    assert [tight.match(w) for w in words + words] == expected and len(tight.states) < len(free.states) / 3
+
+
+def test_very_long_words_and_repeated_labelled_rows(spark):
+    """A long word is a term like any other; a labelled document that comes a thousand times counts once."""
+    long = "x" * 40
+    rows = [(i, f"w{i % 7} {long if i % 3 == 0 else 'plain'} w{i % 11} w{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows + [rows[2]] * 1000, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert any(long.startswith(s) for s in model.words + model.stems)
+    assert np.allclose(model.weights, toxicity.train(docs.distinct(), labels).weights)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert got == {i: int(i % 3 == 0) for i in range(400)}
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(300)]
@@ -200,6 +224,52 @@ def test_title_and_lead_above_the_body_stay():
     assert html.main_text(f"<body><main><p>Lead, short.</p><article>{body}</article></main></body>") == f"Lead, short.\n{text}"
 
 
+def test_lists_of_links_inside_an_article_go_by_their_ratio():
+    links = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("Share", "Tweet", "Mail"))
+    shown = f"<article><h1>Head</h1><p>{ARTICLE}</p><ul>{links}</ul><p>{ARTICLE} <a href='/x'>Link</a></p></article>"
+    assert html.main_text(shown) == f"Head\n{ARTICLE}\n{ARTICLE} Link"
+    two = shown.replace("<li><a href='/Mail'>Mail</a></li>", "")  # two links are no list
+    assert html.main_text(two) == f"Head\n{ARTICLE}\nShare\nTweet\n{ARTICLE} Link"
+    told = "".join(f"<li><a href='/{i}'>{ARTICLE}</a></li>" for i in range(3))  # as long and punctuated as the text: content
+    assert html.main_text(shown.replace(links, told)).count(ARTICLE) == 5
+
+
+@pytest.mark.parametrize("page", ["no declared part", "article with links"])
+def test_the_ratios_decide(monkeypatch, page):
+    """With a constant in their place other text is chosen."""
+    if page == "no declared part":
+        around = "<div class=a>" + "<p>x</p>" * 30 + f"</div><div class=b><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div class=c>" + "<p>y</p>" * 30 + "</div>"
+        expected = f"{ARTICLE}\n{ARTICLE}"
+    else:
+        around = f"<article><p>{ARTICLE}</p><ul>" + "<li><a>x</a></li>" * 4 + "</ul></article>"
+        expected = ARTICLE
+    assert html.main_text(around) == expected
+    monkeypatch.setattr(html, "fused_ratios", lambda nodes: np.ones(len(nodes)))
+    assert html.main_text(around) != expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["", "x", "One, two. ", "Longer text, with points; and more! "])), min_size=1, max_size=25))
+def test_path_ratios_match_brute_force(found):
+    nodes = [html.Node(path, 0, 0, text, True) for path, text in found]
+    own = {p: [t for q, t in found if q == p] for p, _ in found}
+    length = [sum(len(t.strip()) for t in own[p]) / len(own[p]) for p, _ in found]
+    points = [(1 + sum(t.count(c) for t in own[p] for c in ".,;!")) / len(own[p]) for p, _ in found]
+    at = lambda v, i: v[min(max(i, 0), len(v) - 1)]
+    smooth = [[sum(w * at(v, i + k - 2) for k, w in enumerate((0.06, 0.24, 0.4, 0.24, 0.06))) for i in range(len(v))] for v in (length, points)]
+    assert np.allclose(html.fused_ratios(nodes), [(a * b) ** 0.5 for a, b in zip(*smooth)])
+
+
+@pytest.mark.parametrize("page", ["<div>word, " * 50_000, "<!--" * 50_000, "<a" * 50_000, "<p><td>x</p>" * 20_000, "<div class=nav>z" * 20_000])
+def test_deep_and_unclosed_pages_take_linear_time(page):
+    start = time.process_time()
+    tracemalloc.start()
+    html.main_text(page)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6 and time.process_time() - start < 30  # the tracer slows it about six times
+
+
 def test_pages(spark):
     rows = [(1, "u", "<article><p>x, y.</p></article>", 5), (1, "u", "<article><p>x, y.</p></article>", 5), (None, None, None, 5), (3, "u", "<" * 500 + "p>" + "a " * 100_000, 5)]
     got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
