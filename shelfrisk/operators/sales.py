@@ -44,7 +44,9 @@ def only_products(df: DataFrame, products: DataFrame) -> DataFrame:
 
 def with_station(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Add each sale's station; sales of stores without one are dropped."""
-    return sales.join(broadcast_if_small(stores.select("store_nbr", "station_nbr")), "store_nbr")
+    lookup = ["store_nbr", "station_nbr"]
+    # A stored table knows its size.
+    return sales.join(broadcast_if_small(stores if stores.columns == lookup else stores.select(*lookup)), "store_nbr")
 
 
 def with_readings(sales: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
@@ -167,7 +169,7 @@ def capped_sales(sales: DataFrame, stores: DataFrame, weather: DataFrame, produc
     """
     # Both passes read the products: rank them once.
     chosen = None if products is None else stored(products)
-    needed = materialise(weather.select(*NEEDED))
+    stores, needed = materialise(stores.select("store_nbr", "station_nbr")), materialise(weather.select(*NEEDED))
     days = needed.groupBy("station_nbr", "date").agg(F.count(F.lit(1)).alias("n_readings"))
     per_day, units = sale_tallies(sales, stores, broadcast_if_small(days, rows=row_count(needed)), chosen)
     readings = _filled(_clean_of(per_day, needed), task_rows)

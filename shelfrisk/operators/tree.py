@@ -26,7 +26,7 @@ SCORE_DIGITS = 9
 # Most tuples of a node that are kept as one array.
 NODE_TUPLES = 50_000
 # Levels that one query plan grows arrays by.
-LEVELS_PER_PLAN = 6
+LEVELS_PER_PLAN = 4
 # Largest tree, in nodes, that is sent as one value; rows walk down larger ones level by level.
 TREE_NODES = 50_000
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from shelfrisk import session as SS
 from shelfrisk.operators import linear as L
 from shelfrisk.operators import metrics as M
 from shelfrisk.operators import tree as R
@@ -178,6 +179,17 @@ def test_trees_match_brute_force(spark, cp, task_rows, node_tuples):
     assert 3 not in {r["item"] for r in R.importance_rows(model).collect()}
 
 
+def test_levels_share_jobs(spark):
+    """A tree of many levels takes far fewer stored tables than levels: several levels fit one plan."""
+    pick = random.Random(3)
+    rows = [(1, 1.4 ** (i // 10) + 1e-3 * pick.random(), i / 3, 0.0, 0.0) for i in range(400)]
+    df = frame(spark, rows)
+    before = len(SS._STORED)
+    model = R.fit_trees(df, "item", "y", X, cp=0.0, min_split=8, min_bucket=4)
+    stored = len(SS._STORED) - before
+    assert model.depth >= 12 and stored <= 7 + -(-(model.depth + 1) // R.LEVELS_PER_PLAN) < model.depth
+
+
 def test_deeper_trees_fit_better(spark):
     df = frame(spark, noise(11, 150))
     errors = []
