@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfrisk.llm.passages import slices
 
 ORDER = 3
+MODEL_BYTES = 256 << 20  # of the table of code lengths that each worker holds
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -62,11 +63,15 @@ class Model:
         self.symbol = np.full(256, len(seen), dtype=np.int64)
         self.symbol[seen] = np.arange(len(seen))
         s = self.symbols = len(seen) + 1
+        # The table has a number per context, symbol and language: with many languages it holds fewer contexts.
+        most_contexts = max(1, min(most_contexts, MODEL_BYTES // (4 * ORDER * s * max(1, len(langs)))))
+        shares = n / np.maximum(1, np.bincount(lang, weights=n, minlength=len(langs)))[lang] if len(n) else n
         where = {(0, 0): 0}
         for k in range(1, ORDER + 1):
             at = order == k
             names, total = np.unique(context[at], return_inverse=True)
-            weight = np.bincount(total, weights=n[at], minlength=len(names))
+            # By their share in each language, so that one with few texts does not lose its own contexts first.
+            weight = np.bincount(total, weights=shares[at], minlength=len(names))
             if len(names) > most_contexts:  # the rarest have least to say
                 names = np.sort(names[np.lexsort((names, -weight))[:most_contexts]])
             for c in names.tolist():
@@ -111,7 +116,8 @@ class Model:
 
 def train(docs: DataFrame, docs_per_language: int = 400, most_contexts: int = 12_000) -> Model:
     """Fit on a bounded sample: of the rows with text and lang, about `docs_per_language` of each language, picked by
-    a hash of doc_id. At most `most_contexts` contexts of each length are kept, the most frequent ones."""
+    a hash of doc_id. At most `most_contexts` contexts of each length are kept, those with the largest shares of their
+    languages, and no more than MODEL_BYTES hold."""
     usable = docs.filter("lang is not null and text is not null and text != '' and doc_id is not null")
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -131,7 +137,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     first name. A text that is NULL or has no letter is `und` with score 0, and so is every text if nothing was
     learned. Rows stand alone; a NULL doc_id is not held out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by most_contexts
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_BYTES
 
     def run(batches):
         known = shared.value

@@ -91,6 +91,23 @@ def test_code_lengths_follow_the_definition():
         assert np.allclose(got, expected, rtol=1e-4) and np.allclose(got, pieces, rtol=1e-5)
 
 
+def test_a_language_with_few_texts_keeps_its_contexts(monkeypatch):
+    """A hundred times as many texts of one language do not push the other's contexts out; the table stays within its bytes."""
+    def counted(data, number, times):
+        return [(number, k << 32 | int.from_bytes(data[i - k:i], "big") << 8 | data[i], times) for k in range(langid.ORDER + 1) for i in range(k, len(data))]
+
+    rng = random.Random(3)
+    much, little = (bytes(rng.choice(letters) for _ in range(400)) for letters in (b"abcdefgh", b"stuvwxyz"))
+    lang, key, n = (np.array(c, dtype=np.int64) for c in zip(*counted(much, 0, 100), *counted(little, 1, 1)))
+    model = langid.Model(["much", "little"], lang, key, n, 40)
+    assert model.code_lengths(little[:50]).argmin() == 1 and model.code_lengths(much[:50]).argmin() == 0
+    full = langid.Model(["much", "little"], lang, key, n, 10_000)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 20_000)
+    tight = langid.Model(["much", "little"], lang, key, n, 10_000)
+    assert tight.bits.nbytes <= 20_000 + 4 * tight.symbols * 2 < full.bits.nbytes
+    assert tight.code_lengths(little[:50]).argmin() == 1 and tight.code_lengths(much[:50]).argmin() == 0
+
+
 def test_language_is_told_and_edge_cases(spark):
     rng = random.Random(4)
     stock = {"en": ["the", "and", "water", "house", "with"], "fr": ["été", "maison", "avec", "le", "eau"], "de": ["und", "straße", "mit", "haus", "über"]}
