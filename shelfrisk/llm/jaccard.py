@@ -132,7 +132,7 @@ def shared_rows(rows: DataFrame, percent: int) -> DataFrame:
 
     def read(batches):
         last, head, waiting = (None, None), (0, 0, 0), None
-        for batch in batches:
+        for batch in P.in_parts(batches):
             rows = [batch.column(c).to_numpy() for c in ("shingle", "signature", "n", "place")]
             if not batch.num_rows:
                 continue
@@ -161,7 +161,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     """The pairs (a, b) whose sets really share `percent` of their union."""
 
     def run(batches):
-        for batch in batches:
+        for batch in P.in_parts(batches):
             keep, last, left = [], None, None
             for a, one, other in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b"))):
                 if a != last:
@@ -232,7 +232,7 @@ def _own_text(words: int):
     """(signature, text) of rows whose text has the signature; a repeated doc_id may carry another text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in P.in_parts(batches):
             keep = []
             for text, sign in zip(batch.column("text").to_pylist(), batch.column("signature").to_pylist()):
                 found = shingles(text or "", words)

@@ -7,6 +7,7 @@ comparing passages anchor by anchor misses nothing, and equal passages need only
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -123,6 +124,20 @@ def unpack(place: np.ndarray) -> tuple[np.ndarray, ...]:
             (place >> FLAGS) & ((1 << RUN_BITS) - 1), place & ((1 << FLAGS) - 1))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that idle workers hold nothing back from the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the allocator of numpy's arrays, where it can
+    if trim:
+        trim(0)
+
+
+def in_parts(batches) -> Iterator[pa.RecordBatch]:
+    """The batches as they come, with memory given back at the end of the task."""
+    yield from batches
+    give_back()
+
+
 def slices(table: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes in a text or binary column, so that long texts do not pile up."""
     lengths = np.frombuffer(pa.compute.fill_null(pa.compute.binary_length(table.column(column)), 0)
@@ -132,7 +147,7 @@ def slices(table: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
     for a, b in zip(np.append(0, cuts), np.append(cuts, table.num_rows)):
         if b > a:
             yield table.slice(a, b - a)
-    pa.default_memory_pool().release_unused()  # idle workers hold nothing back from the next stage
+    give_back()
 
 
 def with_mark(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -196,7 +211,7 @@ def classify(rows: DataFrame, whole_docs: bool) -> DataFrame:
         last = body_at = None
         owner = (0, 0, 0)
         bodies, pending = 0, []
-        for batch in batches:
+        for batch in in_parts(batches):
             if not batch.num_rows:
                 continue
             anchor, body, doc, mark, place = (batch.column(c).to_numpy() for c in ("anchor", "body", "doc_id", "mark", "place"))
@@ -232,7 +247,7 @@ def classify(rows: DataFrame, whole_docs: bool) -> DataFrame:
 def in_groups(batches, key: str, most: int) -> Iterator[pa.Table]:
     """Whole groups of rows that arrive sorted by `key`, joined to tables of about `most` rows."""
     held, rows = [], 0
-    for batch in batches:
+    for batch in in_parts(batches):
         held.append(batch)
         rows += batch.num_rows
         if rows < most:
